@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -49,3 +49,15 @@ def has_length(word: Column, size: int) -> Column:
 def words_of_length(line: Column, size: int) -> Column:
     """The pieces of ``size`` units, filtered inside the array so that only they are exploded."""
     return F.filter(F.split(line, " "), lambda word: has_length(word, size))
+
+
+def unfold(df: DataFrame, keep: list[str], array: Column, name: str, position: str | None = None) -> DataFrame:
+    """One row per element of ``array``, with its 0-based ``position`` if asked for.
+
+    Rows without elements are dropped after the unfolding. The plain ``explode`` makes
+    Spark test the array's size first, that is, cut every text twice.
+    """
+    unfolded = df.select(*keep, F.posexplode_outer(array).alias("_at", name)).where("_at IS NOT NULL")
+    if position is None:
+        return unfolded.select(*keep, name)
+    return unfolded.select(*keep, F.col("_at").cast("bigint").alias(position), name)

@@ -6,6 +6,8 @@ numbered inside buckets of the key, and only bucket totals travel further up.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,28 +52,54 @@ def _bucket_starts(totals: DataFrame, group_bits: tuple[int, ...]) -> DataFrame:
     )
 
 
-def with_offset(df: DataFrame, key: str, weight: str, name: str) -> DataFrame:
+@dataclass(frozen=True)
+class Starts:
+    """Where each bucket of a numbered table begins, and the sum of all weights."""
+
+    buckets: DataFrame  # (bucket, start)
+    few: bool  # at most ONE_STEP buckets, so that they may be broadcast
+    total: int
+
+    def first_key(self, least: int) -> int | None:
+        """A key below which every offset range ends at or before ``least``."""
+        bucket = self.buckets.where(F.col("start") <= least).agg(F.max("bucket")).first()[0]
+        return None if bucket is None else bucket << BUCKET_BITS
+
+
+def bucket_starts(df: DataFrame, key: str, weight: str) -> Starts:
+    """Sum ``weight`` per bucket of ``key`` in one pass that reads nothing else.
+
+    The sums are written to the shared folder, so that later steps never repeat the pass.
+    """
+    path = shared_path(df.sparkSession, "totals")
+    totals = df.groupBy(bucket_of(key).alias("bucket")).agg(F.sum(weight).cast("bigint").alias("total"))
+    totals.write.parquet(path)
+    totals = df.sparkSession.read.parquet(path)
+    count, total = totals.agg(F.count("bucket"), F.sum("total")).first()
+    few = count <= ONE_STEP
+    return Starts(_bucket_starts(totals, () if few else GROUP_BITS), few, total or 0)
+
+
+def with_offset(
+    df: DataFrame, key: str, weight: str, name: str, starts: Starts | None = None, least: int = 0
+) -> DataFrame:
     """Add ``name``: the sum of ``weight`` over all rows with a smaller ``key``.
 
-    ``key`` must be a unique whole number. The bucket totals are written once to the shared
-    folder, so ``df`` is read twice, however many levels they take: for the totals, with
-    nothing but ``key`` and ``weight``, and for the result. Only the second reading
-    shuffles rows, by bucket.
+    ``key`` must be a unique whole number. Rows are shuffled once, by bucket. ``starts``
+    may be handed in when it is there already. With ``least``, buckets that end at or
+    before that offset may be left out, and are then not even read.
     """
-    spark = df.sparkSession
-    rows = df.withColumn("_bucket", bucket_of(key))
-    path = shared_path(spark, "totals")
-    rows.groupBy(F.col("_bucket").alias("bucket")).agg(F.sum(weight).alias("total")).write.parquet(path)
-    totals = spark.read.parquet(path)
-    few = totals.count() <= ONE_STEP
-    starts = _bucket_starts(totals, () if few else GROUP_BITS).select(
-        F.col("bucket").alias("_bucket"), F.col("start").alias("_start")
-    )
+    starts = starts or bucket_starts(df, key, weight)
+    first_key = starts.first_key(least) if least > 0 else None
+    if first_key is not None:
+        df = df.where(F.col(key) >= first_key)
+    begin = starts.buckets.select(F.col("bucket").alias("_bucket"), F.col("start").alias("_start"))
     inner = sum_before(weight, Window.partitionBy("_bucket").orderBy(key))
     return (
-        rows.withColumn("_inner", inner)
+        df.withColumn("_bucket", bucket_of(key))
+        .withColumn("_inner", inner)
         # Many starts are merged: the rows are partitioned and sorted by bucket already.
-        .join(F.broadcast(starts) if few else starts.hint("merge"), "_bucket")
+        .join(F.broadcast(begin) if starts.few else begin.hint("merge"), "_bucket")
         .withColumn(name, F.col("_inner") + F.col("_start"))
         .drop("_bucket", "_inner", "_start")
     )

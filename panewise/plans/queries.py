@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panewise.functions.clock import to_instant, whole_div
 from panewise.functions.ids import content_id
 from panewise.functions.templates import demux, select_matching
-from panewise.functions.text import tokens, words_of_length
+from panewise.functions.text import tokens, unfold, words_of_length
 from panewise.operators import latest, rates, topk, windows
 from panewise.session import shared_path
 from panewise.sources import fifo, lines, replay
@@ -45,8 +45,7 @@ def assign_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = lines.text_lines(table(spark, sf_dir, "documents"))
-    words = text.select("doc_id", "line_no", F.posexplode(tokens(F.col("text"))).alias("word_no", "word"))
-    return words.withColumn("word_no", F.col("word_no").cast("bigint"))
+    return unfold(text, ["doc_id", "line_no"], tokens(F.col("text")), "word", "word_no")
 
 
 def five_char_words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,8 +73,9 @@ def windowed_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def topk_last_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    last = max(lines.line_count(docs) - 1, 0) // lines.RATE  # second of the last sentence
-    recent = lines.document_words(docs).where(F.col("seq") >= (last - 4) * lines.RATE)
+    starts = lines.line_starts(docs)
+    last = max(starts.total - 1, 0) // lines.RATE  # second of the last sentence
+    recent = lines.document_words(docs, starts=starts, since=max(last - 4, 0) * lines.RATE)
     counts = recent.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
     return topk.top_k(counts)
 
@@ -91,7 +91,7 @@ def topk_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def global_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = lines.text_lines(table(spark, sf_dir, "documents"))
-    words = text.select(F.explode(words_of_length(F.col("text"), lines.WORD_LENGTH)).alias("word"))
+    words = unfold(text, [], words_of_length(F.col("text"), lines.WORD_LENGTH), "word")
     return topk.global_sort(words.groupBy("word").agg(F.count(F.lit(1)).alias("count")))
 
 
@@ -159,18 +159,20 @@ def _replay_seconds(line_count: int) -> int:
 
 def cyclic_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    count = lines.line_count(docs)
-    return replay.cyclic_replay(lines.document_lines(docs), count, _replay_seconds(count), producers=2)
+    starts = lines.line_starts(docs)
+    text = lines.document_lines(docs, starts)
+    return replay.cyclic_replay(text, starts.total, _replay_seconds(starts.total), producers=2)
 
 
 def cyclic_replay_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     stored, out = shared_path(spark, "lines"), shared_path(spark, "replay")
-    sinks.append(lines.document_lines(docs).select("seq", "text"), stored)
-    text = spark.read.parquet(stored)
-    count = text.count()
-    seconds = _replay_seconds(count)
-    stream = replay.cyclic_replay_stream(spark, text, count, seconds_per_batch=seconds)
+    starts = lines.line_starts(docs)
+    sinks.append(lines.document_lines(docs, starts).select("seq", "text"), stored)
+    seconds = _replay_seconds(starts.total)
+    stream = replay.cyclic_replay_stream(
+        spark, spark.read.parquet(stored), max(starts.total, 1), seconds_per_batch=seconds
+    )
     bounded = stream.where(F.col("position") < seconds * lines.RATE)
     runs.run_to_end(sinks.append_stream(bounded, out, shared_path(spark, "checkpoint")))
     return spark.read.parquet(out)
@@ -257,10 +259,10 @@ def poll_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _streamed_topk(spark: SparkSession, sf_dir: str, shape: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Feed the sentences in slices, rank every closed window as the stream goes, read what was stored."""
     docs = table(spark, sf_dir, "documents")
-    count = max(lines.line_count(docs), 1)
-    sentences = lines.sentences(docs).withColumn("arrival_ts", to_instant(F.col("arrival_ts")))
+    starts = lines.line_starts(docs)
+    sentences = lines.sentences(docs, starts=starts).withColumn("arrival_ts", to_instant(F.col("arrival_ts")))
     source, out = shared_path(spark, "sentences"), shared_path(spark, "topk")
-    runs.feed(sentences, source, whole_div(F.col("seq") * SLICES, count), SLICES)
+    runs.feed(sentences, source, whole_div(F.col("seq") * SLICES, max(starts.total, 1)), SLICES)
     stream = stream_source(spark, source, sentences.schema)
     counts = runs.sliding_word_counts_stream(stream)
     runs.run_to_end(runs.topk_writer(counts, out, shared_path(spark, "checkpoint"), shape=shape))

@@ -9,58 +9,57 @@ from pyspark.sql import functions as F
 
 from panewise.functions.clock import arrival_time
 from panewise.functions.ids import content_id
-from panewise.functions.text import line_array, words_of_length
-from panewise.operators.numbering import bucket_of, sum_before, with_offset
+from panewise.functions.text import line_array, unfold, words_of_length
+from panewise.operators.numbering import Starts, bucket_of, bucket_starts, sum_before, with_offset
 from panewise.sources.tables import few_splits
 
 RATE = 100  # sentences per second
 WORD_LENGTH = 5
 
 
+def _line_arrays(docs: DataFrame) -> DataFrame:
+    """(doc_id, lines). A table in few splits is spread first, to be cut in parallel."""
+    if few_splits(docs):
+        docs = docs.repartition(bucket_of("doc_id"))
+    return docs.where("text IS NOT NULL").select("doc_id", line_array(F.col("text")).alias("lines"))
+
+
 def text_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, text): the lines of each document, numbered from 0. No shuffle."""
-    arrays = docs.where("text IS NOT NULL").select("doc_id", line_array(F.col("text")).alias("_lines"))
-    lines = arrays.select("doc_id", F.posexplode("_lines").alias("line_no", "text"))
-    return lines.withColumn("line_no", F.col("line_no").cast("bigint"))
+    """(doc_id, line_no, text): the lines of each document, numbered from 0."""
+    lines = unfold(_line_arrays(docs), ["doc_id"], F.col("lines"), "text", "line_no")
+    return lines.select("doc_id", "line_no", "text")
 
 
-def line_count(docs: DataFrame) -> int:
-    """How many lines the documents have. One pass, one number per task."""
-    sizes = docs.where("text IS NOT NULL").select(F.size(line_array(F.col("text"))).alias("n_lines"))
-    return sizes.agg(F.coalesce(F.sum("n_lines"), F.lit(0))).first()[0]
+def line_starts(docs: DataFrame) -> Starts:
+    """How many lines come before each bucket of documents, and how many there are in all."""
+    return bucket_starts(_line_arrays(docs).select("doc_id", F.size("lines").alias("n_lines")), "doc_id", "n_lines")
 
 
-def _per_line(docs: DataFrame, name: str, value: Callable[[Column], Column]) -> DataFrame:
+def _per_line(
+    docs: DataFrame, name: str, value: Callable[[Column], Column], starts: Starts | None, since: int = 0
+) -> DataFrame:
     """(doc_id, line_no, seq, name): one row per line, in global order.
 
     ``value`` turns the array of lines into an array with one element per line. It runs
-    before the shuffle, so only what it keeps of the text travels. A table in few splits
-    is shuffled first instead, to run it in parallel.
+    before the shuffle, so only what it keeps of the text travels.
     """
-    if few_splits(docs):
-        docs = docs.repartition(bucket_of("doc_id"))
-    lines = docs.where("text IS NOT NULL").select("doc_id", line_array(F.col("text")).alias("_lines"))
-    rows = lines.select("doc_id", F.size("_lines").alias("n_lines"), value(F.col("_lines")).alias("_values"))
-    return (
-        with_offset(rows, "doc_id", "n_lines", "first_seq")
-        .select("doc_id", "first_seq", F.posexplode("_values").alias("line_no", name))
-        .select(
-            "doc_id",
-            F.col("line_no").cast("bigint").alias("line_no"),
-            (F.col("first_seq") + F.col("line_no")).alias("seq"),
-            name,
-        )
+    rows = _line_arrays(docs).select(
+        "doc_id", F.size("lines").alias("n_lines"), value(F.col("lines")).alias("values")
+    )
+    placed = with_offset(rows, "doc_id", "n_lines", "first_seq", starts or line_starts(docs), since)
+    return unfold(placed, ["doc_id", "first_seq"], F.col("values"), name, "line_no").select(
+        "doc_id", "line_no", (F.col("first_seq") + F.col("line_no")).alias("seq"), name
     )
 
 
-def document_lines(docs: DataFrame) -> DataFrame:
+def document_lines(docs: DataFrame, starts: Starts | None = None) -> DataFrame:
     """(doc_id, line_no, seq, text): all lines in order of (doc_id, line_no), ``seq`` from 0."""
-    return _per_line(docs, "text", lambda lines: lines)
+    return _per_line(docs, "text", lambda lines: lines, starts)
 
 
-def sentences(docs: DataFrame, rate: int = RATE) -> DataFrame:
+def sentences(docs: DataFrame, rate: int = RATE, starts: Starts | None = None) -> DataFrame:
     """(seq, id, text, arrival_ts): the lines as a stream that brings ``rate`` of them a second."""
-    return document_lines(docs).select(
+    return document_lines(docs, starts).select(
         "seq",
         content_id(F.col("doc_id"), F.col("line_no")).alias("id"),
         "text",
@@ -68,15 +67,21 @@ def sentences(docs: DataFrame, rate: int = RATE) -> DataFrame:
     )
 
 
-def document_words(docs: DataFrame, size: int = WORD_LENGTH, rate: int = RATE) -> DataFrame:
-    """(seq, arrival_ts, word): the words of ``size`` characters, cut out before lines are numbered."""
+def document_words(
+    docs: DataFrame, size: int = WORD_LENGTH, rate: int = RATE, starts: Starts | None = None, since: int = 0
+) -> DataFrame:
+    """(seq, arrival_ts, word): the words of ``size`` characters, cut out before lines are numbered.
+
+    Only lines from number ``since`` on are given; documents well before it are not read.
+    """
 
     def kept(lines: Column) -> Column:
         return F.transform(lines, lambda line: words_of_length(line, size))
 
-    return _per_line(docs, "words", kept).select(
-        "seq", arrival_time(F.col("seq"), rate).alias("arrival_ts"), F.explode("words").alias("word")
-    )
+    words = _per_line(docs, "words", kept, starts, since)
+    if since > 0:
+        words = words.where(F.col("seq") >= since)
+    return words.select("seq", arrival_time(F.col("seq"), rate).alias("arrival_ts"), F.explode("words").alias("word"))
 
 
 def text_file_lines(spark: SparkSession, path: str) -> DataFrame:
