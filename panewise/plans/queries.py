@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from panewise.functions.clock import to_instant, whole_div
 from panewise.functions.ids import content_id
@@ -19,7 +20,6 @@ from panewise.sources.tables import table, table_pattern
 from panewise.streaming import runs, sinks
 
 HOUR = 3600
-SLICES = 4  # appends that bring the sentences of a bounded stream
 READERS = 8  # competing readers: two receivers of four threads
 STREAMS = {
     "all": {},
@@ -261,11 +261,13 @@ def _streamed_topk(spark: SparkSession, sf_dir: str, shape: Callable[[DataFrame]
     docs = table(spark, sf_dir, "documents")
     starts = lines.line_starts(docs)
     sentences = lines.sentences(docs, starts=starts).withColumn("arrival_ts", to_instant(F.col("arrival_ts")))
-    source, out = shared_path(spark, "sentences"), shared_path(spark, "topk")
-    runs.feed(sentences, source, whole_div(F.col("seq") * SLICES, max(starts.total, 1)), SLICES)
-    stream = stream_source(spark, source, sentences.schema)
-    counts = runs.sliding_word_counts_stream(stream)
-    runs.run_to_end(runs.topk_writer(counts, out, shared_path(spark, "checkpoint"), shape=shape))
+    source, out, checkpoint = (shared_path(spark, name) for name in ("sentences", "topk", "checkpoint"))
+
+    def writer() -> DataStreamWriter:
+        counts = runs.sliding_word_counts_stream(stream_source(spark, source, sentences.schema))
+        return runs.topk_writer(counts, out, checkpoint, shape=shape)
+
+    runs.stream_slices(runs.in_slices(sentences, "seq", starts.total), source, writer)
     return sinks.stored_batches(spark, out)
 
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
+from pyspark.sql.types import LongType, StructField, StructType
 
-from panewise.functions.clock import from_instant
+from panewise.functions.clock import from_instant, whole_div
 from panewise.functions.text import words_of_length
 from panewise.operators.topk import TOP_K, top_k_per_window
 from panewise.operators.windows import sliding_counts
@@ -19,19 +20,42 @@ from panewise.streaming.sinks import append, per_batch
 
 POLL = "100 milliseconds"
 
+SLICE_ROWS = 200_000_000  # most rows that one micro-batch of a bounded replay brings
+BLOCKS = 8  # least number of blocks that a slice is written in
+BLOCK_ROWS = 1_000_000
 
-def feed(df: DataFrame, path: str, slice_no: Column, slices: int) -> None:
-    """Append ``df`` to ``path`` slice by slice, so that file times follow the order of arrival.
 
-    ``df`` is computed once, into folders per slice; a watermark then never sees a later
-    slice before an earlier one.
+def in_slices(df: DataFrame, position: str, total: int, least_slices: int = 2) -> Iterator[DataFrame]:
+    """Cut a table of ``total`` rows, numbered by ``position``, into slices in that order.
+
+    At least ``least_slices``, and none larger than ``SLICE_ROWS``. The table is computed once,
+    into one folder per slice; blocks of neighbouring rows share a task, so that a slice is
+    a moderate number of files, written by many tasks.
     """
     spark = df.sparkSession
-    stage = shared_path(spark, "stage")
-    df.withColumn("slice", slice_no).write.partitionBy("slice").parquet(stage)
-    staged = spark.read.parquet(stage)
-    for number in range(slices):
-        append(staged.where(F.col("slice") == number).drop("slice"), path)
+    rows = max(1, min(-(-total // least_slices), SLICE_ROWS))
+    block = max(1, min(rows // BLOCKS, BLOCK_ROWS))
+    stage = shared_path(spark, "slices")
+    (
+        df.withColumn("slice", whole_div(F.col(position), rows))
+        .repartition(whole_div(F.col(position), block))
+        .write.partitionBy("slice")
+        .parquet(stage)
+    )
+    staged = spark.read.schema(StructType([*df.schema.fields, StructField("slice", LongType())])).parquet(stage)
+    for number in range(-(-total // rows)):
+        yield staged.where(F.col("slice") == number).drop("slice")
+
+
+def stream_slices(slices: Iterator[DataFrame], path: str, writer: Callable[[], DataStreamWriter]) -> None:
+    """Append slice after slice to ``path``, and run the stream over it up to there each time.
+
+    Every run picks up at the checkpoint of the one before. A slice is one micro-batch: files
+    of one slice cannot overtake each other, and the state never holds more than a slice.
+    """
+    for part in slices:
+        append(part, path)
+        run_to_end(writer())
 
 
 def run_to_end(writer: DataStreamWriter) -> StreamingQuery:

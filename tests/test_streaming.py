@@ -64,17 +64,19 @@ def test_stream_equals_batch_on_closed_windows(spark):
     total = batch.count()
     path, out = shared_path(spark, "in"), shared_path(spark, "out")
     stored = batch.withColumn("arrival_ts", to_instant(F.col("arrival_ts")))
-    runs.feed(stored, path, F.floor(F.col("seq") * 3 / total).cast("bigint"), 3)
+    checkpoint = shared_path(spark, "checkpoint")
+
+    def writer():
+        return runs.topk_writer(
+            runs.sliding_word_counts_stream(stream_source(spark, path, stored.schema)),
+            out,
+            checkpoint,
+            shape=lambda ranked: latest.snapshot_versions(topk.word_count_lists(ranked)),
+            console=True,
+        )
+
+    runs.stream_slices(runs.in_slices(stored, "seq", total, 3), path, writer)
     assert rows(spark.read.parquet(path), "seq") == [(n,) for n in range(total)]
-    stream = stream_source(spark, path, stored.schema)
-    writer = runs.topk_writer(
-        runs.sliding_word_counts_stream(stream),
-        out,
-        shared_path(spark, "checkpoint"),
-        shape=lambda ranked: latest.snapshot_versions(topk.word_count_lists(ranked)),
-        console=True,
-    )
-    runs.run_to_end(writer)
     words = batch.select("arrival_ts", F.explode(F.split("text", " ")).alias("word")).where("char_length(word) = 5")
     ranked = topk.top_k_per_window(windows.sliding_counts(words, "arrival_ts", ["word"]))
     expected = latest.snapshot_versions(topk.word_count_lists(ranked)).where(
