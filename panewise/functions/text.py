@@ -17,6 +17,14 @@ def line_array(text: Column) -> Column:
     return F.when(last_is_empty, F.slice(pieces, F.lit(1), F.size(pieces) - 1)).otherwise(pieces)
 
 
+def line_count(text: Column) -> Column:
+    """``size(line_array(text))``, without cutting texts that end their lines with LF only."""
+    ends = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
+    closed = (text == "") | F.endswith(text, F.lit("\n"))
+    by_size = F.size(line_array(text))
+    return F.when(F.contains(text, F.lit("\r")), by_size).otherwise(ends + (~closed).cast("int"))
+
+
 def tokens(line: Column) -> Column:
     """The pieces between single spaces. Empty pieces stay, but those at the end are dropped.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from panewise.functions.clock import arrival_time
 from panewise.functions.ids import content_id
-from panewise.functions.text import line_array, unfold, words_of_length
+from panewise.functions.text import line_array, line_count, unfold, words_of_length
 from panewise.operators.numbering import Starts, bucket_of, bucket_starts, sum_before, with_offset
 from panewise.sources.tables import few_splits
 
@@ -32,7 +32,8 @@ def text_lines(docs: DataFrame) -> DataFrame:
 
 def line_starts(docs: DataFrame) -> Starts:
     """How many lines come before each bucket of documents, and how many there are in all."""
-    return bucket_starts(_line_arrays(docs).select("doc_id", F.size("lines").alias("n_lines")), "doc_id", "n_lines")
+    counts = docs.where("text IS NOT NULL").select("doc_id", line_count(F.col("text")).alias("n_lines"))
+    return bucket_starts(counts, "doc_id", "n_lines")
 
 
 def _per_line(

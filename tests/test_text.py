@@ -3,7 +3,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from panewise.functions.ids import content_id, random_id
-from panewise.functions.text import line_array, tokens, unfold, utf16_length, words_of_length
+from panewise.functions.text import line_array, line_count, tokens, unfold, utf16_length, words_of_length
 from panewise.sources.lines import document_lines, text_file_lines, text_lines
 
 FIVE_LINES = ["aaaaaaaaaaaa", "bbbbbbbbb", "cccc", "dddd", "eee"]
@@ -27,6 +27,7 @@ def one(spark, value, expression):
 )
 def test_line_array(spark, text, expected):
     assert one(spark, text, line_array) == expected
+    assert one(spark, text, line_count) == (None if expected is None else len(expected))
 
 
 @pytest.mark.parametrize(
