@@ -12,7 +12,8 @@ def line_array(text: Column) -> Column:
     As with any line reader, an end mark after the last line opens no further line,
     so an empty text has no line at all.
     """
-    pieces = F.split(text, "\r\n|\r|\n")
+    # A pattern of one character is not run as a regular expression.
+    pieces = F.when(F.contains(text, F.lit("\r")), F.split(text, "\r\n|\r|\n")).otherwise(F.split(text, "\n"))
     last_is_empty = F.endswith(text, F.lit("\n")) | F.endswith(text, F.lit("\r")) | (text == "")
     return F.when(last_is_empty, F.slice(pieces, F.lit(1), F.size(pieces) - 1)).otherwise(pieces)
 
@@ -40,18 +41,22 @@ def tokens(line: Column) -> Column:
 
 def utf16_length(word: Column) -> Column:
     """Length in UTF-16 units: a character above U+FFFF counts twice."""
-    return (F.octet_length(F.encode(word, "UTF-16BE")) / 2).cast("int")
+    return F.shiftright(F.octet_length(F.encode(word, "UTF-16BE")), 1)
 
 
 def has_length(word: Column, size: int) -> Column:
     """True for words of ``size`` UTF-16 units.
 
-    Only words that may hold a character above U+FFFF pay for the encoding: it takes four
-    bytes and two units, so a word of ``size`` units with one has ``size + 2`` bytes or more.
+    Most words are told apart by their bytes, whose number is known: a unit takes one to
+    three. Only words that may hold a character above U+FFFF pay for the encoding: it takes
+    four bytes and two units, so a word of ``size`` units with one has ``size + 2`` bytes or more.
     """
-    return F.char_length(word).between((size + 1) // 2, size) & F.when(
-        F.octet_length(word) < size + 2, F.char_length(word) == size
-    ).otherwise(utf16_length(word) == size)
+    size_in_bytes = F.octet_length(word)
+    return (
+        F.when((size_in_bytes < size) | (size_in_bytes > 3 * size), False)
+        .when(size_in_bytes < size + 2, F.char_length(word) == size)
+        .otherwise((F.char_length(word) <= size) & (utf16_length(word) == size))
+    )
 
 
 def words_of_length(line: Column, size: int) -> Column:

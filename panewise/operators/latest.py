@@ -32,9 +32,14 @@ def lookup(versions: DataFrame, key: int = SNAPSHOT_ID) -> DataFrame:
 
 
 def lookup_or_empty(versions: DataFrame, keys: list[int]) -> DataFrame:
-    """(id, word_counts): the current list of each asked ``id``, an empty one where there is none."""
-    spark = versions.sparkSession
-    asked = spark.createDataFrame([(key,) for key in keys], "id int")
-    found = latest_by_key(versions.where(F.col("id").isin(keys)), ["id"], ["version"])
-    word_counts = F.coalesce("word_counts", F.array().cast(WORD_COUNTS)).alias("word_counts")
-    return asked.join(found, "id", "left").select("id", word_counts)
+    """(id, word_counts): the current list of each asked ``id``, an empty one where there is none.
+
+    Empty lists enter as versions older than any other, so nothing is joined.
+    """
+    defaults = versions.sparkSession.range(0, 1, 1, 1).select(
+        F.explode(F.array(*map(F.lit, keys))).alias("id"),
+        F.lit(None).cast(versions.schema["version"].dataType).alias("version"),
+        F.array().cast(WORD_COUNTS).alias("word_counts"),
+    )
+    known = versions.where(F.col("id").isin(keys)).select("id", "version", "word_counts")
+    return latest_by_key(known.unionByName(defaults), ["id"], ["version"]).select("id", "word_counts")

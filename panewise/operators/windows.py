@@ -39,8 +39,8 @@ def sliding_counts(
 ) -> DataFrame:
     """(window_start, window_end, *keys, count), counted in one step.
 
-    Each row is expanded to all its windows before the partial count. This form also
-    runs on streams, where the window is the state.
+    Each row is expanded to all its windows before the partial count. This is the form for
+    rows that seldom repeat a key within a slide, and for streams, where the window is the state.
     """
     _check(length, slide)
     window = F.window(ts, f"{length} seconds", f"{slide} seconds")
@@ -59,6 +59,7 @@ def sliding_counts_from_panes(
     Panes travel once, not once per window: they are shuffled by (chunk of time, part of
     the keys), with the panes that windows of the chunk before reach into repeated there,
     and expanded to windows after the shuffle. The sum then needs no shuffle of its own.
+    This is the form for many rows per key and slide: only panes are expanded, not rows.
     """
     _check(length, slide)
     reach = length // slide - 1

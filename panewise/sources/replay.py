@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from panewise.functions.clock import arrival_time
 from panewise.sources.lines import RATE
 
+ROWS_PER_TASK = 10_000_000  # of one micro-batch of a replayed stream
+
 COLUMNS = ["producer", "position", "seq", "text", "arrival_ts"]
 
 
@@ -51,9 +53,11 @@ def cyclic_replay_stream(
 
     ``lines`` is read again for every batch, so it should be a stored table.
     """
+    rows = rate * seconds_per_batch
     ticks = (
         spark.readStream.format("rate-micro-batch")
-        .option("rowsPerBatch", rate * seconds_per_batch)
+        .option("rowsPerBatch", rows)
+        .option("numPartitions", max(spark.sparkContext.defaultParallelism, rows // ROWS_PER_TASK))
         .option("advanceMillisPerBatch", 1000 * seconds_per_batch)
         .load()
     )
