@@ -60,6 +60,10 @@ def main() -> None:
             "spark.ui.enabled": "false",
             # Small data on one machine: keep all cores busy rather than merge partitions to 1 MB.
             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
+            # State of this size fits in memory.
+            "spark.sql.streaming.stateStore.providerClass": (
+                "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+            ),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
