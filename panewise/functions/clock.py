@@ -27,28 +27,44 @@ def plus_seconds(ts: Column, seconds: int) -> Column:
     return ts + F.expr(f"interval {seconds} seconds")
 
 
-def _epoch(df: DataFrame, ts: str) -> Column:
-    """1970-01-01 00:00 UTC in the type of column ``ts``."""
-    if df.schema[ts].dataType.simpleString() == "timestamp_ntz":
-        return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_seconds(F.lit(0))
+def _is_zoneless(df: DataFrame, ts: str) -> bool:
+    return df.schema[ts].dataType.simpleString() == "timestamp_ntz"
+
+
+def _zoneless_seconds(ts: Column) -> Column:
+    """Whole seconds since the epoch of a zoneless time, read as UTC.
+
+    ``timestampdiff`` and ``unix_timestamp`` go through the session zone and shift the hour
+    that a change to summer time skips; the fields of a zoneless time do not.
+    """
+    day = F.unix_date(ts.cast("date")).cast("bigint")
+    return day * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+
+
+def _zoneless_epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def slide_number(df: DataFrame, ts: str, slide: int) -> Column:
     """Which slide since the epoch a pane start ``ts``, a multiple of ``slide``, is."""
-    return whole_div(F.timestamp_diff("SECOND", _epoch(df, ts), F.col(ts)), slide)
+    time = F.col(ts)
+    return whole_div(_zoneless_seconds(time) if _is_zoneless(df, ts) else F.unix_seconds(time), slide)
 
 
 def slide_time(df: DataFrame, ts: str, number: Column, slide: int) -> Column:
     """The time of a slide number, in the type of column ``ts`` of ``df``."""
-    return F.timestamp_add("SECOND", number * slide, _epoch(df, ts))
+    seconds = number * slide
+    if _is_zoneless(df, ts):
+        return F.timestamp_add("SECOND", seconds, _zoneless_epoch())
+    return F.timestamp_seconds(seconds)
 
 
 def to_instant(ts: Column) -> Column:
     """A zoneless time, read as UTC, as the ``timestamp`` that watermarks ask for."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts))
+    micros = (F.extract(F.lit("SECOND"), ts) % 1 * 1000000).cast("bigint")
+    return F.timestamp_micros(_zoneless_seconds(ts) * 1000000 + micros)
 
 
 def from_instant(ts: Column) -> Column:
     """The reverse of ``to_instant``."""
-    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), _zoneless_epoch())

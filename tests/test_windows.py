@@ -6,6 +6,7 @@ import pytest
 from conftest import at, rows
 from pyspark.sql import functions as F
 
+from panewise.functions.clock import from_instant, to_instant
 from panewise.operators import windows
 
 SCHEMA = "ts timestamp_ntz, word string"
@@ -94,3 +95,24 @@ def test_join_of_reduced_streams_is_one_to_one(spark):
         for df, name in ((left, "n_left"), (right, "n_right"))
     ]
     assert rows(windows.join_windowed(*sides, ["word"])) == [(at(0), at(1), "a", 50, 70)]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin"])
+def test_session_zone_does_not_matter(spark, zone):
+    # 02:30 on this day does not exist in Berlin.
+    times = [dt.datetime(2024, 3, 31, 2, 30, n) for n in (0, 3)] + [dt.datetime(2024, 7, 1, 12)]
+    data = [(ts, "a") for ts in times]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame(data, SCHEMA)
+        panes = windows.pane_counts(df, "ts", ["word"])
+        assert rows(windows.sliding_counts_from_panes(panes, "ts", ["word"])) == brute_counts(data, 5, 1)
+        assert windows.all_windows(df.where("ts < '2024-04-01'"), "ts").count() == 8
+        zoned = df.withColumn("ts", to_instant(F.col("ts")))
+        assert rows(zoned.select(from_instant(F.col("ts")).alias("ts"))) == [(ts,) for ts in times]
+        one = windows.sliding_counts(zoned, "ts", ["word"])
+        two = windows.sliding_counts_from_panes(windows.pane_counts(zoned, "ts", ["word"]), "ts", ["word"])
+        assert rows(one) == rows(two)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
