@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import SparkSession
 
-_local_root: str | None = None
-
 
 def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators are tuned for; ``conf`` adds to or overrides them."""
@@ -33,14 +31,13 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path for ``name`` below the folder set as ``spark.checkpoint.dir``.
 
-    Every executor must see the folder, so a cluster has to name one. Only a local
-    master, where driver and executors share a disk, falls back to a temporary one.
+    Every executor must see the folder, so a cluster, ``local-cluster`` included, has to name
+    one. A single local process, which has no other executors, may leave it out: its
+    intermediate tables then go below the warehouse folder.
     """
-    global _local_root
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        _local_root = _local_root or tempfile.mkdtemp(prefix="panewise-")
-        root = _local_root
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/intermediate"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
