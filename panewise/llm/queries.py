@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panewise.llm import packing
+from panewise.llm import packing, rules
 from panewise.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,7 +19,13 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.isolation_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *rules.COUNTS, "base_failed", "kept", "anomaly")
+
+
 QUERIES: dict[str, Query] = {
+    "op9_quality_rules": op9_quality_rules,
     "op7_packing": op7_packing,
 }
 ORACLES: dict[str, str] = {}
