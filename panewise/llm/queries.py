@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panewise.llm import packing, rules, simhash
+from panewise.llm import language, oracles, packing, preferences, rules, simhash
+from panewise.llm.tables import fold
 from panewise.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,14 +26,35 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, fold("doc_id", 3) != 1)
+    held_out = (fold("doc_id", 3) == 1).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score")
+
+
+def op10_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The table has no preferences: of two neighbours, the conversation with the even number is the chosen one.
+    pairs = preferences.preference_pairs(
+        table(spark, sf_dir, "conversations"), F.shiftright("conv_id", 1), F.col("conv_id").bitwiseAND(1) == 0
+    )
+    digest = {name: F.array_join(name, "") for name in ("chosen", "rejected")}
+    masks = {name: F.array_join(F.col(name).cast("array<string>"), "") for name in ("chosen_mask", "rejected_mask")}
+    return pairs.withColumns(digest | masks)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.isolation_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", *rules.COUNTS, "base_failed", "kept", "anomaly")
 
 
 QUERIES: dict[str, Query] = {
+    "op8_language": op8_language,
+    "op10_preferences": op10_preferences,
     "op5_simhash": op5_simhash,
     "op9_quality_rules": op9_quality_rules,
     "op7_packing": op7_packing,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_preferences": oracles.PREFERENCES,
+}
