@@ -32,3 +32,30 @@ select l.pair_id, l.chosen_id, l.rejected_id, l.shared::bigint prompt_turns,
 from lengths l join parts using (pair_id)
 group by l.pair_id, l.chosen_id, l.rejected_id, l.shared
 """
+
+_SPLIT = r"""list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"""
+
+DECONTAMINATION = f"""
+with item_words as (select item_id, {_SPLIT} w from benchmark where item_id is not null),
+windows as (
+  select distinct item_id, array_to_string(w[s : s + 9], ' ') win, least(len(w), 10) n
+  from (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) s from item_words where len(w) > 0)),
+sizes as (select distinct n from windows),
+doc_words as (select doc_id, {_SPLIT} w from documents),
+places as (select doc_id, w, unnest(range(1, len(w) + 1)) s from doc_words where len(w) > 0),
+runs as (
+  select doc_id, s, n, array_to_string(w[s : s + n - 1], ' ') win from places, sizes where s + n - 1 <= len(w)),
+found as (select doc_id, s, n, item_id from runs join windows using (win, n)),
+hit as (
+  select doc_id, count(distinct p) n_hit
+  from (select doc_id, unnest(range(s, s + n)) p from (select distinct doc_id, s, n from found)) group by doc_id),
+items as (
+  select doc_id, count(distinct item_id) n_items,
+         string_agg(distinct item_id::varchar, ',' order by item_id::varchar) ids
+  from found group by doc_id)
+select d.doc_id, len(d.w)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coalesce(n_items, 0)::bigint n_items,
+       sha256(coalesce(ids, '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
+from doc_words d left join hit using (doc_id) left join items using (doc_id)
+"""

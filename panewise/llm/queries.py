@@ -7,13 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panewise.llm import language, oracles, packing, preferences, rules, simhash
+from panewise.llm import decontamination, language, oracles, packing, preferences, rules, simhash
 from panewise.llm.tables import fold
 from panewise.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -49,6 +61,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_decontamination": op1_decontamination,
     "op8_language": op8_language,
     "op10_preferences": op10_preferences,
     "op5_simhash": op5_simhash,
@@ -56,5 +69,6 @@ QUERIES: dict[str, Query] = {
     "op7_packing": op7_packing,
 }
 ORACLES: dict[str, str] = {
+    "op1_decontamination": oracles.DECONTAMINATION,
     "op10_preferences": oracles.PREFERENCES,
 }
