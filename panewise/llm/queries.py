@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panewise.llm import decontamination, language, oracles, packing, preferences, rules, simhash
+from panewise.llm import decontamination, language, oracles, packing, preferences, rules, simhash, substrings
 from panewise.llm.tables import fold
 from panewise.sources.tables import table
 
@@ -26,6 +26,11 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.without_repeats(table(spark, sf_dir, "documents"), length=50)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -61,6 +66,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_substrings": op3_substrings,
     "op1_decontamination": op1_decontamination,
     "op8_language": op8_language,
     "op10_preferences": op10_preferences,
