@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panewise.llm import decontamination, language, oracles, packing, preferences, rules, simhash, substrings
+from panewise.llm import decontamination, language, lattice, oracles, packing, preferences, rules, simhash, substrings
 from panewise.llm.tables import fold
 from panewise.sources.tables import table
 
@@ -31,6 +31,15 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    found = lattice.score(docs, fold("doc_id", 5) != 1, public_tokenizers.path("piece_bpe_32k.model"))
+    held_out = F.coalesce(fold("doc_id", 5) == 1, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -66,6 +75,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_lattice": op4_lattice,
     "op3_substrings": op3_substrings,
     "op1_decontamination": op1_decontamination,
     "op8_language": op8_language,
