@@ -40,6 +40,7 @@ from panewise.llm.words import chain, cut, encode, groups, mix
 LENGTH = 50
 GRAM = 20
 SHARD_REGIONS = 4096
+BUNDLE_REGIONS = 1024
 
 _OCCURRENCES = "anchor bigint, region bigint, doc_id bigint, text_hash bigint, first int, windows int"
 _KEY = ["doc_id", "text_hash"]
@@ -204,19 +205,25 @@ def _texts(length: int):
 
 
 def _match(length: int):
-    """Stream the regions of an anchor through the automaton of one of its shards."""
+    """Stream the regions of each anchor through the automata of its shards, for a bundle of shards."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["anchor", "shard"], kind="stable")
         bodies = [bytes(body).split() for body in frame["words"]]
-        labels = frame["label"].tolist()
-        own = np.flatnonzero(frame["reference"].to_numpy()).tolist()
-        automaton = Automaton()
-        for row in own:
-            automaton.add(bodies[row])
-        for row in own:
-            automaton.name(bodies[row], labels[row])
-        automaton.spread()
-        least = [automaton.least(body, length) for body in bodies]
+        labels, reference = frame["label"].tolist(), frame["reference"].tolist()
+        anchor, shard = frame["anchor"].to_numpy(), frame["shard"].to_numpy()
+        new = np.flatnonzero((anchor[1:] != anchor[:-1]) | (shard[1:] != shard[:-1])) + 1
+        edges = [0, *new.tolist(), len(bodies)]
+        least = []
+        for begin, end in zip(edges[:-1], edges[1:], strict=True):
+            automaton = Automaton()
+            own = [row for row in range(begin, end) if reference[row]]
+            for row in own:
+                automaton.add(bodies[row])
+            for row in own:
+                automaton.name(bodies[row], labels[row])
+            automaton.spread()
+            least += [automaton.least(body, length) for body in bodies[begin:end]]
         return pd.DataFrame({"anchor": frame["anchor"], "region": frame["region"], "sources": least})
 
     return run
@@ -249,9 +256,13 @@ def sources(docs: DataFrame, shared: DataFrame, length: int = LENGTH, shard: int
     )
     own = F.pmod(F.xxhash64("region"), F.col("shards"))
     sent = texts.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shards") - 1)))
-    sent = sent.withColumn("reference", F.col("shard") == own)
-    found = sent.groupBy("anchor", "shard").applyInPandas(
-        _match(length), "anchor bigint, region bigint, sources array<bigint>"
+    # Shards are small as a rule; a task's call takes a bundle of them.
+    bundles = max(1, sized.where("size > 1").count() // BUNDLE_REGIONS)
+    bundle = F.pmod(F.xxhash64("anchor", "shard"), F.lit(bundles))
+    found = (
+        sent.withColumn("reference", F.col("shard") == own)
+        .groupBy(bundle.alias("bundle"))
+        .applyInPandas(_match(length), "anchor bigint, region bigint, sources array<bigint>")
     )
     least = found.groupBy("anchor", "region").agg(F.collect_list("sources").alias("lists"))
     merged = F.transform(
