@@ -305,7 +305,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, sha
     cut_up = keyed.where("doc_id is not null and text is not null").mapInArrow(_regions(length, gram), _OCCURRENCES)
     occurrences = stored(cut_up, "regions-of-documents")
     ends = occurrences.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    shared = stored(occurrences.join(ends.where("low < high").select("anchor"), "anchor"), "shared-regions")
+    # Written first, so that both sides of the join are plain shuffles, and a hot anchor is split.
+    repeated = stored(ends.where("low < high").select("anchor"), "repeated-anchors")
+    shared = stored(occurrences.join(repeated, "anchor"), "shared-regions")
     once = keyed.where("doc_id is not null and text is not null")
     known = stored(sources(once, shared, length, shard), "sources")
     starts = F.transform(
