@@ -21,6 +21,7 @@ their bytes from there on.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from panewise.llm.tables import stored
 from panewise.llm.words import cut, groups
 
-BLOCK_BYTES = 1 << 24
+BLOCK_BYTES = 12 << 20
 MARK = "▁"
 ADDED = 0.5
 
@@ -75,7 +76,7 @@ class _Block:
         yield _rows(block, size, place=pa.array(np.arange(size, dtype=np.int32)), word=pa.array(listed, pa.binary()).cast(pa.string()), learned=pa.array(learned))
         edges = np.concatenate([[0], np.cumsum(counts)]) * 4
         raw = codes.astype("<i4").tobytes()
-        tokens = [raw[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+        tokens = [zlib.compress(raw[a:b], 1) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
         yield _rows(
             block, len(tokens), doc_id=pa.array(self.ids, pa.int64()), is_learned=pa.array(self.is_learned), tokens=pa.array(tokens, pa.binary())
         )
@@ -215,7 +216,7 @@ def _score_documents(words: pd.DataFrame, docs: pd.DataFrame) -> pd.DataFrame:
     log_count = np.log10(count + ADDED)
     rows = []
     for tokens in docs["tokens"]:
-        held = np.frombuffer(tokens, dtype="<i4")
+        held = np.frombuffer(zlib.decompress(tokens), dtype="<i4")
         rows.append((len(held), int((count[held] > 0).sum()), log_count[held].sum(), log_p[held].sum()))
     columns = list(zip(*rows, strict=True)) or [[]] * 4
     out = docs[["doc_id", "is_learned"]].reset_index(drop=True)

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Texts are handled together up to so many bytes; a longer text is handled alone.
-GROUP_BYTES = 1 << 21
+GROUP_BYTES = 1 << 20
 
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
