@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panewise.llm import decontamination, language, lattice, oracles, packing, preferences, rules, simhash, substrings
+from panewise.llm import decontamination, kneser_ney, language, lattice, oracles, packing, preferences, rules, simhash, substrings
 from panewise.llm.tables import fold
 from panewise.sources.tables import table
 
@@ -26,6 +26,11 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "lang", "n_points", F.exp("log_perplexity").alias("perplexity"), "kept")
+
+
 def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.without_repeats(table(spark, sf_dir, "documents"), length=50)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -75,6 +80,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_quality": op2_quality,
     "op4_lattice": op4_lattice,
     "op3_substrings": op3_substrings,
     "op1_decontamination": op1_decontamination,
