@@ -121,3 +121,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, block
         F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
     )
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, block: int = BLOCK_WINDOWS) -> DataFrame:
+    """The rows of ``docs`` in which no window of the benchmark occurs, with all their columns."""
+    found = stored(occurrences(docs, item_windows(benchmark, size), block), "occurrences")
+    hit = found.select(F.col("doc_id").alias("_hit_id"), F.col("text_hash").alias("_hit_hash")).distinct()
+    same = docs["doc_id"].eqNullSafe(F.col("_hit_id")) & (F.xxhash64(docs["text"]) == F.col("_hit_hash"))
+    return docs.join(hit, same, "left_anti")

@@ -147,7 +147,7 @@ def learn(texts: list[str], langs: list[str]) -> Identifier:
 
 def learning_rows(docs: DataFrame, fold: Column, most: int = LEARNED_ROWS) -> DataFrame:
     """(lang, text): about ``most`` rows per language, drawn by hash from those where ``fold`` holds."""
-    named = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.coalesce(fold, F.lit(False)))
+    named = docs.select("doc_id", "lang", "text").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.coalesce(fold, F.lit(False)))
     named = named.where((F.length("text") <= LEARNED_CHARS) & (F.length("text") > 0))
     counts = named.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
     shares = counts.select("lang", F.least(F.lit(1.0), most / F.col("n")).alias("share"))

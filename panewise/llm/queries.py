@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panewise.llm import decontamination, kneser_ney, language, lattice, oracles, packing, preferences, rules, simhash, substrings
+from panewise.llm import decontamination, kneser_ney, language, lattice, oracles, packing, pii, preferences, rules, simhash, substrings
 from panewise.llm.tables import fold
 from panewise.sources.tables import table
 
@@ -50,6 +50,19 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def joined(name: str) -> Column:
+        parts = F.transform(name, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+        return F.array_join(parts, ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    found = pii.detect(table(spark, sf_dir, "documents"))
+    counts = [count(kind) for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -80,6 +93,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op6_pii": op6_pii,
     "op2_quality": op2_quality,
     "op4_lattice": op4_lattice,
     "op3_substrings": op3_substrings,

@@ -149,3 +149,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     # A fingerprint that a great many documents share is small on this side and split on the other.
     joined = printed.join(named, "fp", "left")
     return joined.withColumn("component_id", F.expr("case when doc_id is not null then component_id end"))
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` is the least of its component, with all their columns.
+
+    Rows without a ``doc_id`` stay; rows that share one stay or go together.
+    """
+    found = near_duplicates(docs, shingle, distance).where("doc_id <> component_id")
+    gone = stored(found.select("doc_id").distinct(), "near-duplicates")
+    return docs.join(gone, "doc_id", "left_anti")
