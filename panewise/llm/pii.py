@@ -165,10 +165,17 @@ def learn(texts: list[str], rounds: int = ROUNDS) -> Tagger | None:
 
 def learning_texts(docs: DataFrame) -> list[str]:
     """A bounded sample of texts, drawn by hash: most with digits or address signs, some without."""
-    fit = docs.where(F.length("text").between(1, LEARNED_CHARS)).select("text", F.xxhash64("text").alias("_order"))
-    marked = F.col("text").rlike("[0-9@]")
-    drawn = [fit.where(marked).orderBy("_order").limit(MARKED_ROWS), fit.where(~marked).orderBy("_order").limit(PLAIN_ROWS)]
-    return [row["text"] for part in drawn for row in part.select("text").collect()]
+    fit = docs.where(F.length("text").between(1, LEARNED_CHARS)).select("doc_id", "text")
+    marked, count = F.col("text").rlike("[0-9@]"), F.count_if
+    found = fit.agg(count(marked).alias("marked"), count(~marked).alias("plain")).first()
+    turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20))
+    drawn = []
+    for chosen, rows, most in ((marked, found["marked"], MARKED_ROWS), (~marked, found["plain"], PLAIN_ROWS)):
+        share = min(1.0, most / max(rows, 1))
+        # A share of about ``most`` rows; the limit only bounds what equal rows could add to it.
+        part = fit.where(chosen & (turn < max(1, int(share * (1 << 20))))).select("text").limit(2 * most)
+        drawn += sorted(row["text"] for row in part.collect())
+    return drawn
 
 
 def _plausible(kind: str, text: str) -> bool:
