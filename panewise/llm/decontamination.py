@@ -128,4 +128,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, block
     found = stored(occurrences(docs, item_windows(benchmark, size), block), "occurrences")
     hit = found.select(F.col("doc_id").alias("_hit_id"), F.col("text_hash").alias("_hit_hash")).distinct()
     same = docs["doc_id"].eqNullSafe(F.col("_hit_id")) & (F.xxhash64(docs["text"]) == F.col("_hit_hash"))
-    return docs.join(hit, same, "left_anti")
+    # Hits grow with the documents: both sides are shuffled at every size.
+    return docs.join(hit.hint("merge"), same, "left_anti")
