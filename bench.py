@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR  folder of the tables      (default /root/testdata/sf0.1)
 BENCH_CPUS    local cores               (default 8)
-BENCH_RUNS    runs per query, best kept (default 1, after one warm-up query)
+BENCH_RUNS    runs per query, best kept (default 2, after one warm-up query)
 BENCH_ONLY    comma-separated names     (default: all)
 BENCH_LIVE    seconds of a live replay at 500 sentences/s, with a 1 s trigger (default 0: none)
 """
@@ -49,7 +49,7 @@ def live_triggers(spark, sf_dir: str, duration: int, rate: int = 500) -> list[in
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     only = [name for name in os.environ.get("BENCH_ONLY", "").split(",") if name]
     spark = build_session(
         "bench",
@@ -58,12 +58,6 @@ def main() -> None:
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "8g",
             "spark.ui.enabled": "false",
-            # Small data on one machine: keep all cores busy rather than merge partitions to 1 MB.
-            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
-            # State of this size fits in memory.
-            "spark.sql.streaming.stateStore.providerClass": (
-                "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
-            ),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -69,13 +69,21 @@ class Starts:
 def bucket_starts(df: DataFrame, key: str, weight: str) -> Starts:
     """Sum ``weight`` per bucket of ``key`` in one pass that reads nothing else.
 
-    The sums are written to the shared folder, so that later steps never repeat the pass.
+    The sums are written to the shared folder, so that later steps never repeat the pass. Null
+    keys have no place in the order, and a bucket with more rows than keys has repeated ones: both raise.
     """
     path = shared_path(df.sparkSession, "totals")
-    totals = df.groupBy(bucket_of(key).alias("bucket")).agg(F.sum(weight).cast("bigint").alias("total"))
+    totals = df.groupBy(bucket_of(key).alias("bucket")).agg(
+        F.sum(weight).cast("bigint").alias("total"), F.count(F.lit(1)).alias("rows")
+    )
     totals.write.parquet(path)
     totals = df.sparkSession.read.parquet(path)
-    count, total = totals.agg(F.count("bucket"), F.sum("total")).first()
+    count, total, nulls, most = totals.agg(
+        F.count("bucket"), F.sum("total"), F.count_if(F.col("bucket").isNull()), F.max("rows")
+    ).first()
+    if nulls or (most or 0) > 1 << BUCKET_BITS:
+        raise ValueError(f"{key} numbers the rows, so it must be neither null nor repeated")
+    totals = totals.drop("rows")
     few = count <= ONE_STEP
     return Starts(_bucket_starts(totals, () if few else GROUP_BITS), few, total or 0)
 

@@ -15,8 +15,6 @@ from panewise.functions.clock import pane_start, plus_seconds, slide_number, sli
 # Panes are gathered in chunks of 2^6 slides before they are combined into windows. Each
 # chunk also gets the first panes of the next one, so a longer chunk repeats fewer of them.
 CHUNK_BITS = 6
-# A chunk is cut into this many parts by key, so that a burst is not one task's work.
-CHUNK_PARTS = 32
 
 
 def _check(length: int, slide: int) -> None:
@@ -56,15 +54,14 @@ def sliding_counts_from_panes(
 ) -> DataFrame:
     """(window_start, window_end, *keys, count), combined from ``pane_counts``.
 
-    Panes travel once, not once per window: they are shuffled by (chunk of time, part of
-    the keys), with the panes that windows of the chunk before reach into repeated there,
+    Panes travel once, not once per window: they are shuffled by (chunk of time,
+    keys), with the panes that windows of the chunk before reach into repeated there,
     and expanded to windows after the shuffle. The sum then needs no shuffle of its own.
     This is the form for many rows per key and slide: only panes are expanded, not rows.
     """
     _check(length, slide)
     reach = length // slide - 1
     bits = max(CHUNK_BITS, reach.bit_length())
-    part = F.pmod(F.xxhash64(*keys), F.lit(CHUNK_PARTS)) if keys else F.lit(0)
     pane = F.col("_pane")
     gathered = (
         panes.withColumn("_pane", slide_number(panes, ts, slide))
@@ -72,8 +69,8 @@ def sliding_counts_from_panes(
             "_chunk",
             F.explode(F.array_distinct(F.array(F.shiftright(pane - reach, bits), F.shiftright(pane, bits)))),
         )
-        .select("_chunk", part.alias("_part"), "_pane", *keys, "count")
-        .repartition("_chunk", "_part")
+        .select("_chunk", "_pane", *keys, "count")
+        .repartition("_chunk", *keys)
     )
     first_of_chunk = F.shiftleft("_chunk", bits)
     starts = F.sequence(
@@ -83,7 +80,7 @@ def sliding_counts_from_panes(
     start = slide_time(panes, ts, F.col("_start"), slide)
     return (
         gathered.withColumn("_start", F.explode(starts))
-        .groupBy("_chunk", "_part", "_start", *keys)
+        .groupBy("_chunk", "_start", *keys)
         .agg(F.sum("count").alias("count"))
         .select(start.alias("window_start"), *keys, "count")
         .select("window_start", plus_seconds(F.col("window_start"), length).alias("window_end"), *keys, "count")
@@ -104,6 +101,10 @@ def windowed_reduce(
     _check(length, slide)
     keys = keys or []
     window = F.window(ts, f"{length} seconds", f"{slide} seconds")
+    if not df.isStreaming:
+        # Grouped by the columns that the result has, its partitioning serves a join on them.
+        return windowed_rows(df, ts, length, slide).groupBy("window_start", "window_end", *keys).agg(*values)
+    # On a stream the window itself carries the watermark.
     reduced = df.groupBy(window.alias("_window"), *keys).agg(*values)
     names = [name for name in reduced.columns if name != "_window" and name not in keys]
     return reduced.select(*_window_columns(F.col("_window")), *keys, *names)

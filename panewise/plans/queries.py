@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from panewise.functions.clock import to_instant, whole_div
+from panewise.functions.clock import arrival_time, to_instant, whole_div
 from panewise.functions.ids import content_id
 from panewise.functions.templates import demux, select_matching
 from panewise.functions.text import tokens, unfold, words_of_length
@@ -210,10 +210,10 @@ def windowed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def windowed_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Values have two decimals; summing them exactly makes the result independent of row order.
+    # Summing ten decimals exactly makes the result independent of row order.
     values = [
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total"),
+        F.sum(F.col("value").cast("decimal(28,10)")).cast("double").alias("total"),
         F.min("value").alias("least"),
         F.max("value").alias("most"),
     ]
@@ -236,8 +236,9 @@ def windowed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def append_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     path = shared_path(spark, "appended")
-    sinks.append(events.where("event_type = 'click'"), path)
-    sinks.append(events.where("event_type <> 'click'"), path)
+    clicks = F.col("event_type").eqNullSafe("click")
+    sinks.append(events.where(clicks), path)
+    sinks.append(events.where(~clicks), path)
     return spark.read.parquet(path)
 
 
@@ -253,7 +254,7 @@ def poll_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "conversations").schema
     stream = stream_source(spark, table_pattern(sf_dir, "conversations"), schema, {"role": "user"}, max_files=1)
     path = shared_path(spark, "polled")
-    runs.poll_to_end(sinks.append_stream(stream, path, shared_path(spark, "checkpoint")))
+    runs.poll_until(sinks.append_stream(stream, path, shared_path(spark, "checkpoint")), runs.idle_for(2.0))
     return spark.read.parquet(path)
 
 
@@ -269,6 +270,16 @@ def _streamed_topk(spark: SparkSession, sf_dir: str, shape: Callable[[DataFrame]
         return runs.topk_writer(counts, out, checkpoint, shape=shape)
 
     runs.stream_slices(runs.in_slices(sentences, "seq", starts.total), source, writer)
+    if starts.total:
+        # One row without text, a window's length after the last, closes the windows that are still open.
+        end = (starts.total - 1) // lines.RATE + runs.WINDOW_LENGTH
+        closing = spark.range(1, numPartitions=1).select(
+            F.lit(starts.total).cast("bigint").alias("seq"),
+            F.lit(None).cast("string").alias("id"),
+            F.lit(None).cast("string").alias("text"),
+            to_instant(arrival_time(F.lit(end * lines.RATE), lines.RATE)).alias("arrival_ts"),
+        )
+        runs.stream_slices(iter([closing]), source, writer)
     return sinks.stored_batches(spark, out)
 
 

@@ -10,17 +10,14 @@ from pyspark.sql import functions as F
 from panewise.functions.clock import arrival_time
 from panewise.functions.ids import content_id
 from panewise.functions.text import line_array, line_count, unfold, words_of_length
-from panewise.operators.numbering import Starts, bucket_of, bucket_starts, sum_before, with_offset
-from panewise.sources.tables import few_splits
+from panewise.operators.numbering import Starts, bucket_starts, sum_before, with_offset
 
 RATE = 100  # sentences per second
 WORD_LENGTH = 5
 
 
 def _line_arrays(docs: DataFrame) -> DataFrame:
-    """(doc_id, lines). A table in few splits is spread first, to be cut in parallel."""
-    if few_splits(docs):
-        docs = docs.repartition(bucket_of("doc_id"))
+    """(doc_id, lines), cut where the text lies."""
     return docs.where("text IS NOT NULL").select("doc_id", line_array(F.col("text")).alias("lines"))
 
 

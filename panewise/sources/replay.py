@@ -13,6 +13,7 @@ from panewise.sources.lines import RATE
 
 ROWS_PER_TASK = 10_000_000  # of one micro-batch of a replayed stream
 
+BLOCK_CYCLES = 1 << 12  # repetitions of a line that are made as one array
 COLUMNS = ["producer", "position", "seq", "text", "arrival_ts"]
 
 
@@ -28,13 +29,21 @@ def cyclic_replay(
     Line ``seq`` is sent at positions ``seq``, ``seq + line_count``, and so on, so every
     line makes its own rows and nothing is joined.
     """
-    total = rate * seconds
+    total, every = rate * seconds, max(line_count, 1)
     if total == 0 or line_count == 0:
         lines = lines.limit(0)
-    positions = F.sequence(F.col("seq"), F.lit(total - 1), F.lit(max(line_count, 1)).cast("bigint"))
+    sent = lines.where(F.col("seq") < total).select("seq", "text")
+    span = every * BLOCK_CYCLES
+    if total > span:
+        # Many repetitions: blocks of them are spread first, so none is one task's array.
+        blocks = F.sequence(F.col("seq"), F.lit(total - 1), F.lit(span).cast("bigint"))
+        sent = sent.withColumn("begin", F.explode(blocks)).repartition("begin")
+    else:
+        sent = sent.withColumn("begin", F.col("seq"))
+    end = F.least(F.lit(total - 1).cast("bigint"), F.col("begin") + (span - 1))
+    positions = F.sequence("begin", end, F.lit(every).cast("bigint"))
     return (
-        lines.where(F.col("seq") < total)
-        .select("seq", "text", F.explode(positions).alias("position"))
+        sent.select("seq", "text", F.explode(positions).alias("position"))
         .select("*", _producers(producers))
         .withColumn("arrival_ts", arrival_time(F.col("position"), rate))
         .select(*COLUMNS)

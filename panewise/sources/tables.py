@@ -19,14 +19,3 @@ def table_pattern(sf_dir: str, name: str) -> str:
     """The path of a table for a file stream, which takes a table that is one file only as a pattern."""
     folder, _, file = table_path(sf_dir, name).rpartition("/")
     return f"{folder}/{{{file}}}"
-
-
-def few_splits(scan: DataFrame) -> bool:
-    """True when a table scan has too few splits to keep the cores busy.
-
-    A small table is often one file with one row group, which a single task reads.
-    Work on it should be spread first; larger tables are processed where they lie.
-    Call it on a plain scan only: nothing runs, Spark just lists the splits.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.rdd.getNumPartitions() * 2 <= cores

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from panewise.sources.lines import WORD_LENGTH
 from panewise.streaming.sinks import append, per_batch
 
 POLL = "100 milliseconds"
+WINDOW_LENGTH = 5  # seconds
 
 SLICE_ROWS = 200_000_000  # most rows that one micro-batch of a bounded replay brings
 BLOCKS = 8  # least number of blocks that a slice is written in
@@ -65,11 +67,33 @@ def run_to_end(writer: DataStreamWriter) -> StreamingQuery:
     return query
 
 
-def poll_to_end(writer: DataStreamWriter, interval: str = POLL) -> StreamingQuery:
-    """Look for new data every ``interval`` until there is none, and stop. Empty looks run no batch."""
+def idle_for(seconds: float) -> Callable[[StreamingQuery], bool]:
+    """A stop condition: nothing has arrived for so long."""
+    since: list[float] = []
+
+    def idle(query: StreamingQuery) -> bool:
+        status = query.status
+        waiting = status["message"].startswith("Waiting") and not status["isDataAvailable"] and not status["isTriggerActive"]
+        if not waiting:
+            since.clear()
+        elif not since:
+            since.append(time.monotonic())
+        return bool(since) and time.monotonic() - since[0] >= seconds
+
+    return idle
+
+
+def poll_until(
+    writer: DataStreamWriter, stop: Callable[[StreamingQuery], bool], interval: str = POLL, look: float = 0.1
+) -> StreamingQuery:
+    """Look for new data every ``interval``, through empty looks too, until ``stop`` says so.
+
+    Empty looks run no batch. The condition is asked every ``look`` seconds; a failed query raises.
+    """
     query = writer.trigger(processingTime=interval).start()
     try:
-        query.processAllAvailable()
+        while not query.awaitTermination(look) and not stop(query):
+            pass
     finally:
         query.stop()
     return query

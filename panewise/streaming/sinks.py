@@ -37,7 +37,7 @@ def per_batch(
         rows = result(frame)
         if console:
             rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-            rows.show(truncate=False)
+            rows.show(max(1, rows.count()), truncate=False)  # every row: a batch may close many windows
         rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
         if console:
             rows.unpersist()

@@ -58,3 +58,10 @@ def test_rank_when_most_rows_tie(spark):
     ranked = numbering.with_rank(df, [F.desc("count"), F.asc("word")], "rank")
     expected = sorted(data, key=lambda row: (-row[1], row[0]))
     assert rows(ranked, "rank", "word", "count") == [(n + 1, w, c) for n, (w, c) in enumerate(expected)]
+
+
+@pytest.mark.parametrize("keys", [[1, 2, None], [7] * 300])
+def test_null_and_repeated_keys_raise(spark, keys):
+    df = spark.createDataFrame([(k,) for k in keys], "doc_id bigint")
+    with pytest.raises(ValueError, match="neither null nor repeated"):
+        numbering.with_position(df, "doc_id", "at")

@@ -119,3 +119,13 @@ def test_settings_that_are_missing_raise(spark):
         table(spark, "", "events")
     with pytest.raises(ValueError):
         stream_source(spark, "", spark.range(1).schema)
+
+
+def test_replay_of_few_lines_many_times(spark, monkeypatch):
+    monkeypatch.setattr(replay, "BLOCK_CYCLES", 4)
+    text = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "seq bigint, text string")
+    sent = replay.cyclic_replay(text, 3, 20, rate=5)
+    assert rows(sent, "position", "seq") == [(p, p % 3) for p in range(100)]
+    monkeypatch.undo()
+    huge = replay.cyclic_replay(text.limit(1), 1, 2**26, rate=100)
+    assert huge.limit(10).count() == 10

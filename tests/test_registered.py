@@ -9,11 +9,11 @@ import pytest
 import __spark_entry__ as contract
 from panewise.functions.templates import select_matching
 from panewise.operators import topk, windows
+from panewise.plans.oracles import ORACLES
+from panewise.plans.queries import QUERIES
 from panewise.sources.tables import table
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
 PLANNED = """
 lines_source cyclic_replay cyclic_replay_stream stream_source fifo_batches poll_source fifo_head latest_snapshot
 snapshot_or_empty substreams_split append_sink upsert_latest foreach_batch_topk topk_json tokenize five_char_words
@@ -45,6 +45,7 @@ def executed_plan(df):
 
 
 def test_names_follow_the_inventory():
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
     assert sorted(QUERIES) == sorted(PLANNED)
     assert sorted(ORACLES) == sorted(PLANNED)
 
@@ -90,3 +91,19 @@ def test_top_k_is_limited_before_its_shuffle(spark):
 def test_no_cross_joins(spark, name):
     plan = executed_plan(QUERIES[name](spark, SF_DIR))
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("name", ["windowed_topk", "five_char_words", "tokenize"])
+def test_text_is_not_shuffled(spark, name):
+    plan = executed_plan(QUERIES[name](spark, SF_DIR))
+    # Right above a scan, only what was cut may be shuffled.
+    assert not re.search(r"Exchange[^\n]*\n[^\n]*(Filter|ColumnarToRow|FileScan)[^\n]*(\n[^\n]*(ColumnarToRow|Filter))*\n[^\n]*FileScan[^\n]*text", plan)
+
+
+def test_windowed_join_shuffles_each_side_once(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert executed_plan(QUERIES["windowed_join"](spark, SF_DIR)).count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -90,7 +90,7 @@ def test_template_on_a_polled_stream(spark):
     path = one_row_per_file(spark, [0, 1, 2])
     out = shared_path(spark, "out")
     stream = stream_source(spark, path, schema(spark), {"seq": 1}, max_files=1)
-    runs.poll_to_end(sinks.append_stream(stream, out, shared_path(spark, "checkpoint")))
+    runs.poll_until(sinks.append_stream(stream, out, shared_path(spark, "checkpoint")), runs.idle_for(2.0))
     assert rows(spark.read.schema(SCHEMA).parquet(out), "seq") == [(1,)]
 
 
@@ -111,3 +111,18 @@ def test_replay_stream_advances_by_the_second(spark):
 def test_instants_keep_the_time(spark):
     df = spark.createDataFrame([(at(0),), (at(0.123456),)], "ts timestamp_ntz")
     assert rows(df.select(from_instant(to_instant(F.col("ts"))).alias("ts"))) == rows(df)
+
+
+def test_polling_waits_for_data_that_comes_later(spark):
+    path, out = one_row_per_file(spark, [0]), shared_path(spark, "out")
+    stream = stream_source(spark, path, schema(spark), {})
+    looks = []
+
+    def stop(query):
+        looks.append(query.lastProgress is not None and not query.status["isDataAvailable"])
+        if looks.count(True) == 5:
+            sinks.append(spark.createDataFrame([(9, 'late', at(9))], SCHEMA), path)
+        return len(looks) > 400 or (looks.count(True) > 5 and spark.read.schema(SCHEMA).parquet(out).count() == 2)
+
+    runs.poll_until(sinks.append_stream(stream, out, shared_path(spark, "checkpoint")), stop)
+    assert rows(spark.read.schema(SCHEMA).parquet(out), "seq") == [(0,), (9,)]
