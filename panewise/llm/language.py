@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panewise.llm.tables import drawn
+
 UNKNOWN = "und"
 WIDTH = 4096
 #: Most learning rows per language and most languages; both bound what reaches the driver.
@@ -151,9 +153,8 @@ def learning_rows(docs: DataFrame, fold: Column, most: int = LEARNED_ROWS) -> Da
     named = named.where((F.length("text") <= LEARNED_CHARS) & (F.length("text") > 0))
     counts = named.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
     shares = counts.select("lang", F.least(F.lit(1.0), most / F.col("n")).alias("share"))
-    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("share") * (1 << 20)
     # At most LANGUAGES rows are broadcast.
-    return named.join(F.broadcast(shares), "lang").where(drawn).select("lang", "text")
+    return named.join(F.broadcast(shares), "lang").where(drawn(F.col("share"), "doc_id")).select("lang", "text")
 
 
 def identify(docs: DataFrame, fold: Column, most: int = LEARNED_ROWS) -> DataFrame:

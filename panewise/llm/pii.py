@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panewise.llm.tables import drawn
 from panewise.llm.tagger import Tagger
 
 KINDS = ("email", "ip", "card", "phone")
@@ -168,14 +169,13 @@ def learning_texts(docs: DataFrame) -> list[str]:
     fit = docs.where(F.length("text").between(1, LEARNED_CHARS)).select("doc_id", "text")
     marked, count = F.col("text").rlike("[0-9@]"), F.count_if
     found = fit.agg(count(marked).alias("marked"), count(~marked).alias("plain")).first()
-    turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20))
-    drawn = []
+    texts = []
     for chosen, rows, most in ((marked, found["marked"], MARKED_ROWS), (~marked, found["plain"], PLAIN_ROWS)):
         share = min(1.0, most / max(rows, 1))
         # A share of about ``most`` rows; the limit only bounds what equal rows could add to it.
-        part = fit.where(chosen & (turn < max(1, int(share * (1 << 20))))).select("text").limit(2 * most)
-        drawn += sorted(row["text"] for row in part.collect())
-    return drawn
+        part = fit.where(chosen & drawn(share, "doc_id", "text")).select("text").limit(2 * most)
+        texts += sorted(row["text"] for row in part.collect())
+    return texts
 
 
 def _plausible(kind: str, text: str) -> bool:

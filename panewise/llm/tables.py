@@ -15,6 +15,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drawn(share: Column | float, *key: str) -> Column:
+    """True for about this share of the rows, by a hash of the key; always true for a share of 1."""
+    value = F.xxhash64(*key)
+    # Two draws of 20 bits make one of 40, so that few rows of very many are no more than asked for.
+    turn = F.pmod(value, F.lit(1 << 20)) * (1 << 20) + F.pmod(F.shiftright(value, 20), F.lit(1 << 20))
+    return turn < share * float(1 << 40)
+
+
 def fold(key: str, residue: int) -> Column:
     """crc32 of a key as text, modulo ``residue``. Null keys fall into no fold."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % residue
