@@ -66,8 +66,8 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return packing.pack(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    tokenizer, ranks = map(public_tokenizers.path, ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken"))
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer, ranks, public_tokenizers.PATTERN)
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:

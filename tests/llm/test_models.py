@@ -13,9 +13,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from panewise.llm import kneser_ney, language, lattice, packing, pii, preferences, rules
-from panewise.llm.tables import fold
+from panewise.llm.tables import drawn, fold
 from panewise.llm.tagger import Tagger
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -235,6 +236,15 @@ def test_rule_statistics_equal_brute_force(frame, odd):
     assert sorted(((r["doc_id"], *(r[n] for n in rules.COUNTS)) for r in found), key=str) == sorted(want, key=str)
 
 
+def test_samples_stay_bounded_whatever_the_keys(spark):
+    same = spark.range(5000).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(7).alias("n_words"))
+    assert rules._drawn(same, 5000, 100, "doc_id", "n_words").count() <= 200
+    rows = spark.range(200_000).withColumnRenamed("id", "doc_id")
+    assert 1700 < rules._drawn(rows, 200_000, 2000, "doc_id").count() < 2300
+    assert rows.where(drawn(1.0, "doc_id")).count() == 200_000
+    assert rows.where(drawn(1e-9, "doc_id")).count() < 5
+
+
 def test_isolation_rules_reject_what_stands_out(spark, frame, odd):
     rng = random.Random(3)
     rows = [(k, " ".join(f"w{rng.randrange(3000)}" for _ in range(120))) for k in range(300)]
@@ -252,12 +262,12 @@ def test_isolation_rules_reject_what_stands_out(spark, frame, odd):
 def test_packing_places_every_token_once(frame, odd):
     from tokenizers import Tokenizer
 
-    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    reference = Tokenizer.from_file(TOKENIZER)
     reference.encode_special_tokens = True
     rng = random.Random(1)
     texts = {k: " ".join(rng.choice(["tree", "É", "<|endoftext|>", "  x", "12.5"]) for _ in range(rng.randrange(900))) for k in range(40)}
     docs = frame([*texts.items(), (100, None), (101, "")]).unionByName(odd.where("doc_id = 4"))
-    pieces = packing.pack(docs, RANKS, public_tokenizers.PATTERN, windows=4).collect()
+    pieces = packing.pack(docs, TOKENIZER, RANKS, public_tokenizers.PATTERN, windows=4).collect()
     texts |= {100: "", 101: "", 4: odd.where("doc_id = 4").first()["text"]} if 4 not in texts else {100: "", 101: ""}
     for row in odd.where("doc_id = 4").collect():
         texts[("long", 4)] = row["text"]
@@ -283,7 +293,17 @@ def test_packing_places_every_token_once(frame, odd):
             assert offset == at
             at += length
         assert at <= 2048
-    assert packing.pack(docs.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
+    assert packing.pack(docs.limit(0), TOKENIZER, RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_ids_of_long_white_space():
+    for text, count in [("x" + " " * 1_200_000 + "y", 1_200_001), ("\n" * 1_200_000, 1_200_000)]:
+        ids = packing.byte_pairs(text, TOKENIZER, RANKS, public_tokenizers.PATTERN)
+        assert 0 < len(ids) <= count
+        assert packing.byte_pairs("", TOKENIZER, RANKS, public_tokenizers.PATTERN) == []
+    near = "x" + " " * 150_000 + "y"
+    quick = packing._encoding(RANKS, public_tokenizers.PATTERN).encode_ordinary(near)
+    assert packing.byte_pairs(near, TOKENIZER, RANKS, public_tokenizers.PATTERN) == quick
 
 
 def test_differencing_is_nearly_equal():
