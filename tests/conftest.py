@@ -1,4 +1,3 @@
-import datetime as dt
 import sys
 from pathlib import Path
 
@@ -8,9 +7,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from panewise.session import build_session  # noqa: E402
 
-T0 = dt.datetime(2024, 1, 1)
-
-
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session(
@@ -26,12 +22,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def at(second):
-    return T0 + dt.timedelta(seconds=second)
-
-
-def rows(df, *columns):
-    """The rows of a frame as a sorted list of tuples."""
-    return sorted(tuple(row) for row in df.select(*(columns or df.columns)).collect())

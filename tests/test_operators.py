@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import at, rows
+from helpers import at, rows
 from pyspark.sql import functions as F
 
 from panewise.functions.templates import demux, select_matching

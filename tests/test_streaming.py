@@ -1,6 +1,6 @@
 import time
 
-from conftest import at, rows
+from helpers import at, rows
 from pyspark.sql import functions as F
 
 from panewise.functions.clock import from_instant, to_instant
