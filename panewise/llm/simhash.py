@@ -4,10 +4,12 @@ Fingerprints that differ in at most ``2 r`` of 64 bits differ in at most ``r`` b
 upper or their lower half (``r`` is 2). Within a half, two values at most ``r`` apart meet half
 way: both have some value within ``r / 2`` flips. So every distinct fingerprint emits, for each
 half, all variants within half that radius: 2 x 33 keys of 32 bits, where variants of the whole
-fingerprint would be 2,081. Keys are shuffled; fingerprints that meet at a key are compared on
-all 64 bits. A group of fingerprints at one key is cut into parts of bounded size, and parts
-are compared two by two, each pair of parts as a row of its own, so that a hot key is many
-small tasks. Each comparison gives a spanning forest of the links it finds, never all pairs.
+fingerprint would be 2,081. Keys are shuffled and sorted once, and each task streams through its
+keys: fingerprints that meet at a key are compared on all 64 bits, and a spanning forest of the
+links they have is given out, never all pairs. A key at which more than ``PART`` fingerprints meet
+is not compared: its fingerprints emit their 2,081 whole variants within two flips instead. Two
+that share one differ in at most four bits, so every variant links its fingerprints to the least
+of them, without a comparison; work stays in proportion to the fingerprints however hot the key.
 
 Null and empty texts have fingerprint zero and link like any other. A row without a ``doc_id``
 gets its fingerprint, is linked to nothing and names no component. Repeated rows each get
@@ -17,6 +19,7 @@ their row. An empty table gives no rows; further columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +33,8 @@ from panewise.llm.words import encode
 SHINGLE = 4
 DISTANCE = 4
 SEED = 42
-PART = 1024  # fingerprints of one key that are compared at once
+PART = 256  # most fingerprints of one key that are compared with each other
+TASK_ROWS = 1 << 20  # keys that one task emits
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -78,7 +82,8 @@ def forest(left: np.ndarray, right: np.ndarray, distance: int) -> list[tuple[int
     """Links (index in left, index in right) that span what the two sides link to each other."""
     close = np.bitwise_count(left[:, None] ^ right[None, :]) <= distance
     rows, columns = np.nonzero(close)
-    parent = list(range(len(left) + len(right)))
+    nodes = len(left) + len(right)
+    parent = list(range(nodes))
 
     def root(node: int) -> int:
         while parent[node] != node:
@@ -92,50 +97,121 @@ def forest(left: np.ndarray, right: np.ndarray, distance: int) -> list[tuple[int
         if x != y:
             parent[y] = x
             links.append((a, b))
+            if len(links) == nodes - 1:
+                break  # all are joined
     return links
 
 
-def _compare(distance: int):
+LINKS = "a bigint, b bigint, hot boolean"
+
+
+def _links_batch(pairs: np.ndarray, hot: bool) -> pa.RecordBatch:
+    a, b = (np.ascontiguousarray(pairs[:, side]).view(np.int64) for side in (0, 1))
+    return pa.record_batch([pa.array(a), pa.array(b), pa.array(np.full(len(a), hot))], names=["a", "b", "hot"])
+
+
+def _at_keys(distance: int, part: int):
+    """Links among the fingerprints of each key, from rows (key, fp) sorted by key.
+
+    At most ``part`` fingerprints are held. When a key has more, each of them is given out
+    once as (fp, fp, hot), and the rest of the key streams through.
+    """
+
+    def linked(held: np.ndarray, hot: bool) -> list[np.ndarray]:
+        if hot or len(held) < 2:
+            return []
+        pairs = np.array(forest(held, held, distance), dtype=np.int64)
+        return [held[pairs[pairs[:, 0] != pairs[:, 1]]]]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held, hot = None, np.zeros(0, dtype=np.uint64), False
         for batch in batches:
-            a, b = [], []
-            for mine, theirs in zip(batch.column("mine"), batch.column("theirs"), strict=True):
-                left = mine.values.to_numpy().view(np.uint64)
-                right = theirs.values.to_numpy().view(np.uint64)
-                for x, y in forest(left, right, distance):
-                    a.append(int(left[x].view(np.int64)))
-                    b.append(int(right[y].view(np.int64)))
-            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            if not batch.num_rows:
+                continue
+            keys, values = (batch.column(k).to_numpy().view(np.uint64) for k in (0, 1))
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1, [len(keys)]])
+            # A key of one row links nothing, but the first and the last may go on in other batches.
+            looked_at = np.diff(edges) > 1
+            looked_at[[0, -1]] = True
+            pairs, hot_ones = [], []
+            for at in np.flatnonzero(looked_at).tolist():
+                here = values[edges[at] : edges[at + 1]]
+                if keys[edges[at]] != current:
+                    pairs += linked(held, hot)
+                    current, held, hot = keys[edges[at]], here[:0], False
+                if hot:
+                    hot_ones.append(here)
+                    continue
+                held = np.concatenate([held, here])
+                if len(held) > part:
+                    hot_ones.append(held)
+                    held, hot = held[:0], True
+            if pairs:
+                yield _links_batch(np.concatenate(pairs), False)
+            if hot_ones:
+                yield _links_batch(np.stack([np.concatenate(hot_ones)] * 2, axis=1), True)
+        for pairs in linked(held, hot):
+            yield _links_batch(pairs, False)
 
     return run
 
 
+def _to_least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b): each fingerprint of a variant with the least of it, from rows (key, fp) sorted by both."""
+    key, least = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys, values = (batch.column(k).to_numpy() for k in (0, 1))
+        edges = np.flatnonzero(np.diff(keys, prepend=keys[0]) != 0)
+        edges = np.concatenate([[0], edges]).astype(np.int64)
+        firsts = values[edges].copy()
+        if key is not None and keys[0] == key:
+            firsts[0] = least
+        key, least = keys[-1], firsts[-1]
+        pairs = np.stack([np.repeat(firsts, np.diff(np.append(edges, len(keys)))), values], axis=1)
+        pairs = np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
+        yield pa.record_batch([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
+
+
+def _flips(bits: int, most: int) -> list[int]:
+    """All values of ``bits`` bits, signed if there are 64, with at most ``most`` bits set."""
+    values = [sum(1 << bit for bit in chosen) for count in range(most + 1) for chosen in combinations(range(bits), count)]
+    return [value - (1 << 64) if value >> 63 else value for value in values]
+
+
 def ball_keys(fp: str, radius: int) -> list:
     """The variants of both halves of a fingerprint within ``radius`` flips (0 or 1), tagged by half."""
     keys = []
     for half, value in enumerate((F.shiftrightunsigned(fp, 32), F.col(fp).bitwiseAND(0xFFFFFFFF))):
-        flips = [0] + ([1 << bit for bit in range(32)] if radius else [])
-        keys += [value.bitwiseXOR(flip) + F.lit(half << 32) for flip in flips]
+        keys += [value.bitwiseXOR(flip) + F.lit(half << 32) for flip in _flips(32, radius)]
     return keys
 
 
+def _dealt(keyed: DataFrame, *order: str) -> DataFrame:
+    return keyed.repartition("key").sortWithinPartitions(*order)
+
+
+def _spread(distinct: DataFrame, count: int, keys: int) -> DataFrame:
+    """Enough tasks for rows that each become ``keys`` rows: a short table sits in a few."""
+    tasks = max(distinct.sparkSession.sparkContext.defaultParallelism, -(-count * keys // TASK_ROWS))
+    return distinct.repartition(tasks, "fp")
+
+
 def links(distinct: DataFrame, distance: int = DISTANCE, part: int = PART) -> DataFrame:
     """(a, b): links between distinct fingerprints ``fp`` that join all that are ``distance`` apart or less."""
-    if not 0 <= distance <= 5:
-        raise ValueError("halves are hashed within one flip, which finds links of up to 5 bits")
-    keyed = distinct.select("fp", F.explode(F.array(*ball_keys("fp", 0 if distance < 2 else 1))).alias("key"))
-    # A part of a key takes a share of its fingerprints by hash; their number follows the size of the key.
-    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    sized = keyed.join(sizes, "key").withColumn("parts", F.ceil(F.col("size") / part).cast("bigint"))
-    dealt = sized.withColumn("part", F.pmod(F.xxhash64("fp", "key"), F.col("parts")))
-    parts = dealt.groupBy("key", "part").agg(F.first("parts").alias("parts"), F.sort_array(F.collect_list("fp")).alias("held"))
-    single = parts.where("parts = 1").select(F.col("held").alias("mine"), F.col("held").alias("theirs"))
-    many = stored(parts.where("parts > 1"), "hot-keys")
-    ahead = many.withColumn("to", F.explode(F.sequence("part", F.col("parts") - 1)))
-    pairs = ahead.select("key", F.col("to").alias("part"), F.col("held").alias("mine")).join(
-        many.select("key", "part", F.col("held").alias("theirs")), ["key", "part"]
-    )
-    return single.unionByName(pairs.select("mine", "theirs")).mapInArrow(_compare(distance), "a bigint, b bigint")
+    if distance not in (0, 2, 4):
+        raise ValueError("balls of half the distance meet for an even number of bits, and halves for up to 4")
+    keys = F.array(*ball_keys("fp", 0 if distance < 2 else 1))
+    keyed = _spread(distinct, distinct.count(), 66).select(F.explode(keys).alias("key"), "fp")
+    found = stored(_dealt(keyed, "key").mapInArrow(_at_keys(distance, part), LINKS), "half-keys")
+    hot = stored(found.where("hot").select(F.col("a").alias("fp")).distinct(), "hot-fingerprints")
+    compared = found.where("not hot").select("a", "b")
+    masks = F.lit(_flips(64, distance // 2)).cast("array<bigint>")
+    ball = F.explode(F.transform(masks, lambda mask: F.col("fp").bitwiseXOR(mask))).alias("key")
+    variants = _spread(hot, hot.count(), 2081).select(ball, "fp")
+    linked = _dealt(variants, "key", "fp").mapInArrow(_to_least, "a bigint, b bigint")
+    return compared.unionByName(linked)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
