@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panewise.llm import decontamination, kneser_ney, language, lattice, oracles, packing, pii, preferences, rules, simhash, substrings
+from panewise.llm import (
+    decontamination,
+    kneser_ney,
+    language,
+    lattice,
+    merkle,
+    oracles,
+    packing,
+    page_text,
+    pii,
+    preferences,
+    prefix_trie,
+    rules,
+    simhash,
+    substrings,
+)
 from panewise.llm.tables import fold
 from panewise.sources.tables import table
 
@@ -92,6 +107,26 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *rules.COUNTS, "base_failed", "kept", "anomaly")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))
+    conv_id = F.col("conv_id")
+    return prefix_trie.prefix_trie(prefix_trie.with_borrowed_start(turns, conv_id - conv_id % 20, fold("conv_id", 4)))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    one_more = F.when(fold("doc_id", 7) == 0, F.try_add("n_chars", F.lit(1))).otherwise(F.col("n_chars"))
+    found = merkle.manifest(table(spark, sf_dir, "documents"), changed={"n_chars": one_more})
+    folded = found.withColumn("folded_root", merkle.fold(F.col("changed_leaf"), F.col("steps")))
+    proof = merkle.proof_digest(F.col("steps")).alias("proof_sha256")
+    verified = (F.col("folded_root") == F.col("root")).alias("verified")
+    return folded.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", verified)
+
+
+def op13_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = page_text.page_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 QUERIES: dict[str, Query] = {
     "op6_pii": op6_pii,
     "op2_quality": op2_quality,
@@ -103,8 +138,13 @@ QUERIES: dict[str, Query] = {
     "op5_simhash": op5_simhash,
     "op9_quality_rules": op9_quality_rules,
     "op7_packing": op7_packing,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_merkle": op12_merkle,
+    "op13_page_text": op13_page_text,
 }
 ORACLES: dict[str, str] = {
     "op1_decontamination": oracles.DECONTAMINATION,
     "op10_preferences": oracles.PREFERENCES,
+    "op11_prefix_trie": oracles.PREFIX_TRIE,
+    "op12_merkle": oracles.MERKLE,
 }
