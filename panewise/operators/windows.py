@@ -7,14 +7,18 @@ time belongs to no window.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panewise.functions.clock import pane_start, plus_seconds, slide_number, slide_time
+from panewise.functions.clock import pane_start, plus_seconds, slide_number, slide_time, whole_div
 
 # Panes are gathered in chunks of 2^6 slides before they are combined into windows. Each
 # chunk also gets the first panes of the next one, so a longer chunk repeats fewer of them.
 CHUNK_BITS = 6
+# Blocks of panes whose running results are made together: 2^3, so that one in eight is sent twice.
+BLOCK_BITS = 3
 
 
 def _check(length: int, slide: int) -> None:
@@ -110,6 +114,67 @@ def windowed_reduce(
     return reduced.select(*_window_columns(F.col("_window")), *keys, *names)
 
 
+#: A reduction: the aggregate over the rows of a pane, and the one that combines two such results.
+Reduction = tuple[Column, Callable[[str], Column]]
+
+
+def sliding_reduce(
+    df: DataFrame, ts: str, values: dict[str, Reduction], length: int = 5, slide: int = 1, keys: list[str] | None = None
+) -> DataFrame:
+    """(window_start, window_end, *keys, *values): reduce sliding windows at a cost that does not depend on their length.
+
+    For any reduction that may be combined in any order; it needs no inverse, so it serves minima as
+    well as sums. Rows are reduced to panes. The panes of a window are the end of one block of
+    ``length / slide`` panes and the beginning of the next, so two running results per block, from
+    its front and from its back, hold all that windows need: each is two of them combined, where
+    ``windowed_reduce`` would combine as many as a window has panes.
+
+    Panes are shuffled once, by chunk of blocks and key; the first block of a chunk goes to the one
+    before it too, whose last windows reach into it.
+    """
+    _check(length, slide)
+    keys, size, names = keys or [], length // slide, list(values)
+    reduced = [value.alias(name) for name, (value, _) in values.items()]
+    panes = df.where(F.col(ts).isNotNull()).groupBy(pane_start(F.col(ts), slide).alias("_ts"), *keys).agg(*reduced)
+    pane, block, chunk = F.col("_pane"), F.col("_block"), F.col("_chunk")
+    numbered = panes.select(slide_number(panes, "_ts", slide).alias("_pane"), *keys, *names)
+    blocked = numbered.withColumn("_block", whole_div(pane - F.pmod(pane, F.lit(size)), size))
+    chunk_of = lambda number: F.shiftright(number, BLOCK_BITS)
+    gathered = blocked.withColumn(
+        "_chunk", F.explode(F.array_distinct(F.array(chunk_of(block), chunk_of(block - 1))))
+    ).repartition("_chunk", *keys)
+    in_block = Window.partitionBy("_chunk", *keys, "_block").orderBy("_pane")
+    so_far = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    from_here = in_block.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    first, last = block * size, block * size + (size - 1)
+    combine = {name: combined for name, (_, combined) in values.items()}
+    running = gathered.select(
+        "_chunk",
+        *keys,
+        # The result from the back serves the windows that start after the pane before, in this chunk.
+        F.when(chunk_of(block) == chunk, F.coalesce(F.lag("_pane").over(in_block) + 1, first)).alias("_back_from"),
+        pane.alias("_back_to"),
+        F.struct(*[combine[name](name).over(from_here).alias(name) for name in names]).alias("_back"),
+        # The one from the front serves those that end before the next pane, and start in the block before.
+        F.when(chunk_of(block - 1) == chunk, pane - (size - 1)).alias("_front_from"),
+        (F.least(F.coalesce(F.lead("_pane").over(in_block), last) - 1, last - 1) - (size - 1)).alias("_front_to"),
+        F.struct(*[combine[name](name).over(so_far).alias(name) for name in names]).alias("_front"),
+    )
+    parts = F.filter(
+        F.array(*[F.struct(F.col(f"_{side}_from").alias("a"), F.col(f"_{side}_to").alias("b"), F.col(f"_{side}").alias("part")) for side in ("back", "front")]),
+        lambda part: part["a"] <= part["b"],
+    )
+    start = slide_time(panes, "_ts", F.col("_start"), slide)
+    return (
+        running.select("_chunk", *keys, F.explode(parts).alias("_p"))
+        .select("_chunk", *keys, F.explode(F.sequence("_p.a", "_p.b")).alias("_start"), "_p.part.*")
+        .groupBy("_chunk", "_start", *keys)
+        .agg(*[combine[name](name).alias(name) for name in names])
+        .select(start.alias("window_start"), *keys, *names)
+        .select("window_start", plus_seconds(F.col("window_start"), length).alias("window_end"), *keys, *names)
+    )
+
+
 def join_windowed(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join two reduced window streams on window and key.
 
@@ -119,6 +184,35 @@ def join_windowed(left: DataFrame, right: DataFrame, keys: list[str], how: str =
     return left.join(right, ["window_start", "window_end", *keys], how)
 
 
+def windowed_join_stream(
+    left: DataFrame,
+    right: DataFrame,
+    ts: str,
+    values: tuple[list[Column], list[Column]],
+    length: int,
+    slide: int,
+    keys: list[str],
+    delay: str = "0 seconds",
+) -> DataFrame:
+    """Reduce two streams per window and key, and join what both have, as each window closes.
+
+    Both streams carry the same watermark column ``ts``, of type ``timestamp``. The join is on the
+    window, so its state is bounded by the watermark as that of the reductions is: a side waits
+    only until its window has closed on both. Time is that of the slower stream unless the session
+    says otherwise (``spark.sql.streaming.multipleWatermarkPolicy``); rows later than ``delay`` are lost
+    to windows that have closed.
+    """
+    _check(length, slide)
+    window = F.window(ts, f"{length} seconds", f"{slide} seconds")
+    sides = [
+        side.withWatermark(ts, delay).groupBy(window.alias("_window"), *keys).agg(*aggregates)
+        for side, aggregates in zip((left, right), values, strict=True)
+    ]
+    joined = sides[0].join(sides[1], ["_window", *keys])
+    names = [name for name in joined.columns if name != "_window" and name not in keys]
+    return joined.select(*_window_columns(F.col("_window")), *keys, *names)
+
+
 def all_windows(df: DataFrame, ts: str, length: int = 5, slide: int = 1) -> DataFrame:
     """(window_start): every window from the first to the last that holds a row, in order of time.
 

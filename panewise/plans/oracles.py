@@ -72,6 +72,35 @@ def _replay(producers: int) -> str:
         from sent join lines on seq = "position" % line_count, range(0, {producers}) t(p)"""
 
 
+_JOINED = """
+        with hourly as (
+          select time_bucket(interval 1 hour, ts, timestamp '1970-01-01') window_start, user_id, event_type, count(*) n
+          from events group by all)
+        select v.window_start, v.window_start + interval 1 hour window_end, v.user_id, v.n views, p.n purchases
+        from hourly v join hourly p on v.window_start = p.window_start and v.user_id = p.user_id
+        where v.event_type = 'view' and p.event_type = 'purchase'"""
+
+
+def _every_slide(events: str, slide: str, panes: int) -> str:
+    """Lists of the three most frequent types per sliding window, one for every window."""
+    return f"""
+        with expanded as (
+          select event_type, time_bucket(interval 1 {slide}, ts, timestamp '1970-01-01') - to_{slide}s(k::int) window_start
+          from {events} e, range(0, {panes}) t(k)),
+        spine as (
+          select unnest(generate_series(min(window_start), max(window_start), interval 1 {slide})) window_start
+          from expanded),
+        counted as (
+          select window_start, event_type, count(*) n from expanded where event_type is not null group by all),
+        ranked as (
+          select *, row_number() over (partition by window_start order by n desc, event_type) rank from counted),
+        lists as (
+          select window_start, to_json(list({{'word': event_type, 'count': n}} order by rank))::varchar json
+          from ranked where rank <= 3 group by window_start)
+        select window_start, window_start + interval {panes} {slide} window_end, coalesce(json, '[]') json
+        from spine left join lists using (window_start)"""
+
+
 ORACLES: dict[str, str] = {
     "lines_source": f"with {_LINES} select doc_id, line_no, seq, line as text from lines",
     "assign_ids": f"""with {_LINES}
@@ -153,16 +182,33 @@ ORACLES: dict[str, str] = {
         select window_start, window_start + interval 5 hour window_end, count(*) n,
                sum(value::decimal(28, 10))::double total, min(value) least, max(value) most
         from expanded group by window_start""",
-    "windowed_join": """
-        with hourly as (
-          select time_bucket(interval 1 hour, ts, timestamp '1970-01-01') window_start, user_id, event_type, count(*) n
-          from events group by all)
-        select v.window_start, v.window_start + interval 1 hour window_end, v.user_id, v.n views, p.n purchases
-        from hourly v join hourly p on v.window_start = p.window_start and v.user_id = p.user_id
-        where v.event_type = 'view' and p.event_type = 'purchase'""",
+    "windowed_join": _JOINED,
     "append_sink": "select * from events",
     "stream_source": "select * from events where event_type = 'purchase'",
     "poll_source": "select * from conversations where role = 'user'",
     "sliding_topk_stream": f"with {_TOPK} select {_TOPK_COLUMNS} from topk",
     "foreach_batch_topk": f"with {_JSON} select 1::int id, window_end as version, json from lists",
+    "fifo_stream": """
+        select event_id, event_type, value, p "position", p // 50 batch
+        from (select *, row_number() over (order by event_id) - 1 p from events where user_id = 7)""",
+    "template_index": """
+        with templates as (
+          select distinct t.event_type, u.user_id
+          from events e, lateral (values (null), (e.event_type)) t(event_type), lateral (values (null), (e.user_id)) u(user_id))
+        select coalesce(t.event_type, '*') || ':' || coalesce(t.user_id::varchar, '*') stream, e.event_id
+        from templates t join events e
+          on coalesce(t.event_type = e.event_type, t.event_type is null) and coalesce(t.user_id = e.user_id, t.user_id is null)""",
+    "sliding_reduce": """
+        with expanded as (
+          select value, time_bucket(interval 1 minute, ts, timestamp '1970-01-01') - to_minutes(k::int) window_start
+          from events, range(0, 300) t(k))
+        select window_start, window_start + interval 5 hour window_end, count(*) n,
+               sum(value::decimal(28, 10))::double total, min(value) least, max(value) most
+        from expanded group by window_start""",
+    "topk_every_slide": _every_slide("events", "minute", 5),
+    "topk_every_slide_stream": _every_slide("(select * from events where user_id = 7)", "hour", 5),
+    "windowed_join_stream": _JOINED,
+    "union_live": """
+        select time_bucket(interval 1 hour, ts, timestamp '1970-01-01') slot, count(*) n
+        from events where event_type in ('view', 'purchase') group by all""",
 }

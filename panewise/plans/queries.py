@@ -8,18 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from panewise.functions.clock import arrival_time, to_instant, whole_div
+from panewise.functions.clock import arrival_time, from_instant, plus_seconds, to_instant
 from panewise.functions.ids import content_id
 from panewise.functions.templates import demux, select_matching
 from panewise.functions.text import tokens, unfold, words_of_length
-from panewise.operators import latest, rates, topk, windows
+from panewise.operators import latest, numbering, rates, topk, windows
+from panewise.operators.template_index import match_templates
 from panewise.session import shared_path
-from panewise.sources import fifo, lines, replay
-from panewise.sources.streams import stream_source
+from panewise.sources import fifo, lines, positioned, replay
+from panewise.sources.streams import stream_source, union_live
 from panewise.sources.tables import table, table_pattern
-from panewise.streaming import runs, sinks
+from panewise.streaming import panes, runs, sinks
+from panewise.streaming.store import KeyedStore
 
 HOUR = 3600
+REPLAY_BATCHES = 12  # micro-batches of the replayed stream
 READERS = 8  # competing readers: two receivers of four threads
 STREAMS = {
     "all": {},
@@ -99,22 +102,39 @@ def global_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- the current result -----------------------------------------------------------------------
 
 
-def _versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest.snapshot_versions(topk.word_count_lists(windowed_topk(spark, sf_dir)))
+def _snapshot_store(spark: SparkSession, sf_dir: str) -> KeyedStore:
+    """A store that has taken in the lists of all windows, in two batches."""
+    docs = table(spark, sf_dir, "documents")
+    starts = lines.line_starts(docs)
+    counts = windows.sliding_counts(lines.document_words(docs, starts=starts), "arrival_ts", ["word"])
+    path = shared_path(spark, "versions")
+    sinks.append(latest.snapshot_versions(topk.word_count_lists(topk.top_k_per_window(counts))), path)
+    versions = spark.read.parquet(path)
+    store = KeyedStore(spark, shared_path(spark, "snapshots"), versions.schema, ["id"], ["version"])
+    half = arrival_time(F.lit(starts.total // 2), lines.RATE)
+    store.put(versions.where(F.col("version") < half), 0)
+    store.put(versions.where(F.col("version") >= half), 1)
+    return store
 
 
 def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    current = latest.lookup(_versions(spark, sf_dir))
+    current = _snapshot_store(spark, sf_dir).lookup(latest.SNAPSHOT_ID)
     return current.select("id", "version", F.to_json("word_counts").alias("json"))
 
 
 def snapshot_or_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = latest.lookup_or_empty(_versions(spark, sf_dir), [latest.SNAPSHOT_ID, latest.SNAPSHOT_ID + 1])
+    store, keys = _snapshot_store(spark, sf_dir), [latest.SNAPSHOT_ID, latest.SNAPSHOT_ID + 1]
+    found = latest.lookup_or_empty(fifo.union_streams(*map(store.lookup, keys)), keys)
     return found.select("id", F.to_json("word_counts").alias("json"))
 
 
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest.latest_by_key(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"])
+    events = table(spark, sf_dir, "events")
+    store = KeyedStore(spark, shared_path(spark, "latest"), events.schema, ["user_id"], ["ts", "event_id"])
+    clicks = F.col("event_type").eqNullSafe("click")
+    store.put(events.where(clicks), 0)
+    store.put(events.where(~clicks), 1)
+    return store.current()
 
 
 # --- templates, ordered reads, replay -----------------------------------------------------------
@@ -134,6 +154,30 @@ def fifo_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fifo.fifo_batches(events, "event_id", template=STREAMS["clicks"])
 
 
+def fifo_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    matching = numbering.with_position(select_matching(events, STREAMS["user_7"]), "event_id", "position")
+    stored = positioned.store_by_position(matching.drop("user_id"), "position", shared_path(spark, "fifo"))
+    out = shared_path(spark, "read")
+    stream = positioned.position_stream(spark, stored, fifo.BATCH_SIZE)
+    writer = sinks.per_batch(stream, out, shared_path(spark, "checkpoint"), lambda frame: frame)
+    runs.poll_until(writer, positioned.all_sent(stored.rows), look=0.05)
+    # Which micro-batch brought a row is in the folder that it was written to.
+    schema = "position bigint, event_id bigint, event_type string, value double, batch bigint"
+    return spark.read.schema(schema).parquet(out) if stored.rows else spark.createDataFrame([], schema)
+
+
+def template_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every type, every user and every type of every user as a template, and one that sets nothing."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "user_id")
+    told = [F.coalesce(F.col(field).cast("string"), F.lit("*")) for field in ("event_type", "user_id")]
+    templates = events.cube("event_type", "user_id").agg(F.grouping_id().alias("_open"))
+    # A null that cube put there leaves a field open; one from a record would match nothing.
+    meant = (F.col("event_type").isNotNull() | (F.col("_open") >= 2)) & (F.col("user_id").isNotNull() | (F.col("_open") % 2 == 1))
+    named = templates.where(meant).select(F.concat_ws(":", *told).alias("stream"), "event_type", "user_id")
+    return match_templates(events, named, ["event_type", "user_id"]).select("stream", "event_id")
+
+
 def fifo_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fifo.fifo_head(table(spark, sf_dir, "events"), "event_id", STREAMS["user_7_clicks"])
 
@@ -167,16 +211,15 @@ def cyclic_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cyclic_replay_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    stored, out = shared_path(spark, "lines"), shared_path(spark, "replay")
     starts = lines.line_starts(docs)
-    sinks.append(lines.document_lines(docs, starts).select("seq", "text"), stored)
-    seconds = _replay_seconds(starts.total)
-    stream = replay.cyclic_replay_stream(
-        spark, spark.read.parquet(stored), max(starts.total, 1), seconds_per_batch=seconds
-    )
-    bounded = stream.where(F.col("position") < seconds * lines.RATE)
-    runs.run_to_end(sinks.append_stream(bounded, out, shared_path(spark, "checkpoint")))
-    return spark.read.parquet(out)
+    text = lines.document_lines(docs, starts).select("seq", "text")
+    stored = positioned.store_by_position(text, "seq", shared_path(spark, "lines"), bucket_rows=1 << 14)
+    seconds, out = _replay_seconds(starts.total), shared_path(spark, "replay")
+    limit = seconds * lines.RATE if starts.total else 0
+    stream = replay.stored_replay_stream(spark, stored, limit, seconds_per_batch=-(-seconds // REPLAY_BATCHES))
+    writer = sinks.append_stream(stream, out, shared_path(spark, "checkpoint"))
+    runs.poll_until(writer, positioned.all_sent(limit), look=0.05)
+    return spark.read.schema(stream.schema).parquet(out)
 
 
 # --- events -----------------------------------------------------------------------------------
@@ -200,8 +243,7 @@ def arrival_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def overrun_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     hourly = rates.arrival_rate(table(spark, sf_dir, "events"), "ts", HOUR)
-    half_above_mean = hourly.agg(whole_div(F.sum("n") * 3, F.count("n") * 2).alias("budget")).first()[0]
-    return rates.overruns(hourly, half_above_mean or 0)
+    return rates.overruns_of_mean(hourly)
 
 
 def windowed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,6 +262,33 @@ def windowed_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.windowed_reduce(table(spark, sf_dir, "events"), "ts", values, 5 * HOUR, HOUR)
 
 
+def sliding_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    exact = F.col("value").cast("decimal(28,10)")
+    values = {
+        "n": (F.count(F.lit(1)), F.sum),
+        "total": (F.sum(exact), F.sum),
+        "least": (F.min("value"), F.min),
+        "most": (F.max("value"), F.max),
+    }
+    # 300 panes a window.
+    reduced = windows.sliding_reduce(table(spark, sf_dir, "events"), "ts", values, 5 * HOUR, 60)
+    return reduced.withColumn("total", F.col("total").cast("double"))
+
+
+def topk_every_slide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three most frequent types of event of five minutes, every minute, quiet ones included."""
+    events = table(spark, sf_dir, "events").select("ts", F.col("event_type").alias("word"))
+    known = events.where("word IS NOT NULL")
+    counts = windows.sliding_counts_from_panes(windows.pane_counts(known, "ts", ["word"], 60), "ts", ["word"], 300, 60)
+    spine = windows.all_windows(events, "ts", 300, 60).select(
+        "window_start",
+        plus_seconds(F.col("window_start"), 300).alias("window_end"),
+        F.lit(None).cast("string").alias("word"),
+        F.lit(0).cast("bigint").alias("count"),
+    )
+    return topk.as_json(panes.lists_of_every_slide(counts.unionByName(spine), 3))
+
+
 def windowed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("ts", "user_id", "event_type")
 
@@ -258,7 +327,10 @@ def poll_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _streamed_topk(spark: SparkSession, sf_dir: str, shape: Callable[[DataFrame], DataFrame]) -> DataFrame:
+StreamWriter = Callable[[DataFrame, str, str], DataStreamWriter]
+
+
+def _streamed_topk(spark: SparkSession, sf_dir: str, rank: StreamWriter) -> DataFrame:
     """Feed the sentences in slices, rank every closed window as the stream goes, read what was stored."""
     docs = table(spark, sf_dir, "documents")
     starts = lines.line_starts(docs)
@@ -266,8 +338,7 @@ def _streamed_topk(spark: SparkSession, sf_dir: str, shape: Callable[[DataFrame]
     source, out, checkpoint = (shared_path(spark, name) for name in ("sentences", "topk", "checkpoint"))
 
     def writer() -> DataStreamWriter:
-        counts = runs.sliding_word_counts_stream(stream_source(spark, source, sentences.schema))
-        return runs.topk_writer(counts, out, checkpoint, shape=shape)
+        return rank(stream_source(spark, source, sentences.schema), out, checkpoint)
 
     runs.stream_slices(runs.in_slices(sentences, "seq", starts.total), source, writer)
     if starts.total:
@@ -284,16 +355,89 @@ def _streamed_topk(spark: SparkSession, sf_dir: str, shape: Callable[[DataFrame]
 
 
 def sliding_topk_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _streamed_topk(spark, sf_dir, lambda ranked: ranked)
+    def writer(stream: DataFrame, out: str, checkpoint: str) -> DataStreamWriter:
+        words = stream.withColumn("words", words_of_length(F.col("text"), lines.WORD_LENGTH))
+        return panes.ring_topk_writer(panes.pane_ring_counts(words, "arrival_ts", "words"), out, checkpoint)
+
+    with panes.timer_state(spark):
+        return _streamed_topk(spark, sf_dir, writer)
 
 
 def foreach_batch_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    versions = _streamed_topk(
-        spark, sf_dir, lambda ranked: latest.snapshot_versions(topk.word_count_lists(ranked))
-    )
+    def writer(stream: DataFrame, out: str, checkpoint: str) -> DataStreamWriter:
+        counts = runs.sliding_word_counts_stream(stream)
+        shape = lambda ranked: latest.snapshot_versions(topk.word_count_lists(ranked))
+        return runs.topk_writer(counts, out, checkpoint, shape=shape)
+
+    versions = _streamed_topk(spark, sf_dir, writer)
     return versions.select("id", "version", F.to_json("word_counts").alias("json"))
 
 
+def _streamed_events(
+    spark: SparkSession, events: DataFrame, length: int, closing: list[str], rank: StreamWriter
+) -> DataFrame:
+    """Feed events in order of time, in two slices, and a row per type of ``closing`` that closes the last windows."""
+    timed = events.where("ts IS NOT NULL").withColumn("ts", to_instant(F.col("ts")))
+    ranked = numbering.with_rank(timed, [F.asc("ts"), F.asc("event_id")], "seq").withColumn("seq", F.col("seq") - 1)
+    total, last = timed.agg(F.count("ts"), F.max(F.unix_seconds("ts"))).first()
+    source, out, checkpoint = (shared_path(spark, name) for name in ("events", "out", "checkpoint"))
+
+    def writer() -> DataStreamWriter:
+        return rank(stream_source(spark, source, ranked.schema), out, checkpoint)
+
+    runs.stream_slices(runs.in_slices(ranked, "seq", total), source, writer)
+    if total:
+        end = F.timestamp_seconds(F.lit(last // HOUR * HOUR + length))
+        row = [(end if f.name == "ts" else F.lit(None)).cast(f.dataType).alias(f.name) for f in ranked.schema.fields]
+        rows = spark.range(1, numPartitions=1).select(*row)
+        kinds = F.explode(F.lit(closing).cast("array<string>"))
+        runs.stream_slices(iter([rows.withColumn("event_type", kinds)]), source, writer)
+    return sinks.stored_batches(spark, out)
+
+
+def topk_every_slide_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three most frequent types of one user's events of five hours, every hour, quiet ones included."""
+    events = select_matching(table(spark, sf_dir, "events"), STREAMS["user_7"]).select("event_id", "ts", "event_type")
+
+    def writer(stream: DataFrame, out: str, checkpoint: str) -> DataStreamWriter:
+        kinds = stream.withColumn("words", F.when(F.col("event_id").isNotNull(), F.array("event_type")))
+        counts = panes.pane_ring_counts(kinds, "ts", "words", 5 * HOUR, HOUR, k=3)
+        return panes.every_slide_writer(counts, out, checkpoint, 3, topk.as_json)
+
+    with panes.timer_state(spark):
+        return _streamed_events(spark, events, 5 * HOUR, ["closing"], writer)
+
+
+def windowed_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+
+    def writer(stream: DataFrame, out: str, checkpoint: str) -> DataStreamWriter:
+        sides = [select_matching(stream, {"event_type": kind}).select("ts", "user_id") for kind in ("view", "purchase")]
+        counts = [[F.count(F.lit(1)).alias(name)] for name in ("views", "purchases")]
+        joined = windows.windowed_join_stream(*sides, "ts", tuple(counts), HOUR, HOUR, ["user_id"])
+        zoneless = {name: from_instant(F.col(name)) for name in ("window_start", "window_end")}
+        return sinks.per_batch(joined.withColumns(zoneless), out, checkpoint, lambda frame: frame)
+
+    return _streamed_events(spark, events, HOUR, ["view", "purchase"], writer)
+
+
+def union_live_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views and purchases as two streams, counted together per hour; a third one only moves time on."""
+    events = table(spark, sf_dir, "events")
+    schema = events.select("ts", "event_type").schema
+    pattern, beat = table_pattern(sf_dir, "events"), shared_path(spark, "heartbeat")
+    end = events.agg(plus_seconds(F.max("ts"), 2 * HOUR).alias("ts")).withColumn("event_type", F.lit(None).cast("string"))
+    sinks.append(end.where("ts IS NOT NULL"), beat)
+    kinds = [stream_source(spark, pattern, schema, {"event_type": kind}) for kind in ("view", "purchase")]
+    streams = [s.withColumn("ts", to_instant(F.col("ts"))) for s in (*kinds, stream_source(spark, beat, schema))]
+    whole = union_live("ts", *streams)
+    counts = whole.groupBy(F.window("ts", f"{HOUR} seconds").alias("w")).agg(F.count("event_type").alias("n"))
+    slots = counts.where("n > 0").select(from_instant(F.col("w.start")).alias("slot"), "n")
+    out = shared_path(spark, "united")
+    runs.run_to_end(sinks.append_stream(slots, out, shared_path(spark, "checkpoint")))
+    return spark.read.schema(slots.schema).parquet(out)
+
+
 QUERIES: dict[str, Query] = {
     "lines_source": lines_source,
     "cyclic_replay": cyclic_replay,
@@ -330,4 +474,11 @@ QUERIES: dict[str, Query] = {
     "windowed_join": windowed_join,
     "windowed_reduce": windowed_reduce,
     "windowed_rows": windowed_rows,
+    "fifo_stream": fifo_stream,
+    "template_index": template_index,
+    "sliding_reduce": sliding_reduce,
+    "topk_every_slide": topk_every_slide,
+    "topk_every_slide_stream": topk_every_slide_stream,
+    "windowed_join_stream": windowed_join_stream,
+    "union_live": union_live_query,
 }

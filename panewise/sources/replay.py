@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from panewise.functions.clock import arrival_time
 from panewise.sources.lines import RATE
+from panewise.sources.positioned import POSITION, Positioned, position_stream
 
 ROWS_PER_TASK = 10_000_000  # of one micro-batch of a replayed stream
 
@@ -77,3 +78,24 @@ def cyclic_replay_stream(
         .withColumn("arrival_ts", arrival_time(F.col("position"), rate))
         .select(*COLUMNS)
     )
+
+
+def stored_replay_stream(
+    spark: SparkSession,
+    stored: Positioned,
+    limit: int,
+    rate: int = RATE,
+    producers: int = 1,
+    seconds_per_batch: int = 1,
+) -> DataFrame:
+    """The first ``limit`` rows of the replay of lines stored by position, ``seconds_per_batch`` of it per micro-batch.
+
+    A micro-batch reads the buckets of the lines that it sends, not the others.
+    """
+    sent = position_stream(spark, stored, rate * seconds_per_batch, limit)
+    return (
+        sent.select(POSITION, (F.col(POSITION) % max(stored.rows, 1)).alias("seq"), "text")
+        .select("*", _producers(producers))
+        .withColumn("arrival_ts", arrival_time(F.col(POSITION), rate))
+        .select(*COLUMNS)
+    )

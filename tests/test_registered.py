@@ -19,7 +19,8 @@ lines_source cyclic_replay cyclic_replay_stream stream_source fifo_batches poll_
 snapshot_or_empty substreams_split append_sink upsert_latest foreach_batch_topk topk_json tokenize five_char_words
 template_match demux_templates assign_ids sliding_word_counts pane_counts sliding_word_counts_panes arrival_rate
 overrun_report sliding_event_counts sliding_counts_with_empty windowed_topk word_weights global_sort topk_last_window
-union_streams sliding_topk_stream windowed_join windowed_reduce windowed_rows
+union_streams sliding_topk_stream windowed_join windowed_reduce windowed_rows fifo_stream template_index sliding_reduce topk_every_slide topk_every_slide_stream
+windowed_join_stream union_live
 """.split()
 DUCKDB_TYPES = {
     "bigint": "BIGINT",
