@@ -17,11 +17,12 @@ import time
 from pyspark.sql import functions as F
 
 from panewise.functions.clock import to_instant
+from panewise.functions.text import words_of_length
 from panewise.plans.queries import QUERIES
 from panewise.session import build_session, shared_path
-from panewise.sources import lines, replay
+from panewise.sources import lines, positioned, replay
 from panewise.sources.tables import table
-from panewise.streaming import runs, sinks
+from panewise.streaming import panes, progress, runs
 
 
 def seconds(query, spark, sf_dir: str) -> float:
@@ -30,26 +31,28 @@ def seconds(query, spark, sf_dir: str) -> float:
     return time.perf_counter() - start
 
 
-def live_triggers(spark, sf_dir: str, duration: int, rate: int = 500) -> list[int]:
-    """Milliseconds per 1 s trigger of the flagship query on a live replay of the lines."""
+def live_triggers(spark, sf_dir: str, duration: int, rate: int = 500) -> dict[str, list[int]]:
+    """Milliseconds and state rows per 1 s trigger of the flagship query on a live replay of the lines."""
     docs = table(spark, sf_dir, "documents")
-    starts = lines.line_starts(docs)
-    stored = shared_path(spark, "lines")
-    sinks.append(lines.document_lines(docs, starts).select("seq", "text"), stored)
-    sentences = replay.cyclic_replay_stream(spark, spark.read.parquet(stored), starts.total, rate)
-    counts = runs.sliding_word_counts_stream(sentences.withColumn("arrival_ts", to_instant(F.col("arrival_ts"))))
-    writer = runs.topk_writer(counts, shared_path(spark, "topk"), shared_path(spark, "checkpoint"))
-    query = writer.trigger(processingTime="1 second").start()
-    query.awaitTermination(duration)
-    triggers = [row["duration_ms"] for row in runs.progress_table(query).orderBy("batch").collect() if row["rows"]]
-    query.stop()
-    return triggers
+    text = lines.document_lines(docs).select("seq", "text")
+    stored = positioned.store_by_position(text, "seq", shared_path(spark, "lines"), bucket_rows=1 << 14)
+    sentences = replay.stored_replay_stream(spark, stored, rate * duration, rate)
+    words = sentences.select(
+        to_instant(F.col("arrival_ts")).alias("arrival_ts"), words_of_length(F.col("text"), lines.WORD_LENGTH).alias("words")
+    )
+    path = shared_path(spark, "progress")
+    with panes.timer_state(spark), progress.recorded(spark, path) as recorder:
+        counts = panes.pane_ring_counts(words, "arrival_ts", "words", shards=8)
+        writer = panes.ring_topk_writer(counts, shared_path(spark, "topk"), shared_path(spark, "checkpoint"))
+        recorder.wait_for(runs.poll_until(writer, positioned.all_sent(rate * duration), "1 second"))
+    seen = progress.recorded_progress(spark, path).where("rows > 0").orderBy("batch").collect()
+    return {name: [row[name] for row in seen] for name in ("duration_ms", "state_rows")}
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    repeats = int(os.environ.get("BENCH_RUNS", "2"))
     only = [name for name in os.environ.get("BENCH_ONLY", "").split(",") if name]
     spark = build_session(
         "bench",
@@ -64,7 +67,7 @@ def main() -> None:
     seconds(QUERIES["windowed_topk"], spark, sf_dir)
     times = {}
     for name in only or QUERIES:
-        times[name] = round(min(seconds(QUERIES[name], spark, sf_dir) for _ in range(runs)), 3)
+        times[name] = round(min(seconds(QUERIES[name], spark, sf_dir) for _ in range(repeats)), 3)
         print(name, times[name], file=sys.stderr, flush=True)
     result = {
         "metric": "total time of the registered queries",
@@ -75,7 +78,7 @@ def main() -> None:
     }
     live = int(os.environ.get("BENCH_LIVE", "0"))
     if live:
-        result["live_trigger_ms"] = live_triggers(spark, sf_dir, live)
+        result["live"] = live_triggers(spark, sf_dir, live)
     spark.stop()
     print(json.dumps(result))
 

@@ -70,20 +70,26 @@ def bucket_starts(df: DataFrame, key: str, weight: str) -> Starts:
     """Sum ``weight`` per bucket of ``key`` in one pass that reads nothing else.
 
     The sums are written to the shared folder, so that later steps never repeat the pass. Null
-    keys have no place in the order, and a bucket with more rows than keys has repeated ones: both raise.
+    keys have no place in the order and repeated ones none of their own: both raise. Four numbers
+    mark the keys that a bucket has, one bit each, so repeated ones show in the same pass.
     """
     path = shared_path(df.sparkSession, "totals")
+    low = F.col(key).cast("bigint").bitwiseAND((1 << BUCKET_BITS) - 1)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), low.bitwiseAND(63).cast("int"))
+    words = range((1 << BUCKET_BITS) // 64)
+    marks = [F.bit_or(F.when(F.shiftright(low, 6) == word, bit)) for word in words]
+    keys = sum((F.coalesce(F.bit_count(mark), F.lit(0)) for mark in marks), F.lit(0))
     totals = df.groupBy(bucket_of(key).alias("bucket")).agg(
-        F.sum(weight).cast("bigint").alias("total"), F.count(F.lit(1)).alias("rows")
+        F.sum(weight).cast("bigint").alias("total"), (F.count(F.lit(1)) - keys).alias("repeated")
     )
     totals.write.parquet(path)
     totals = df.sparkSession.read.parquet(path)
-    count, total, nulls, most = totals.agg(
-        F.count("bucket"), F.sum("total"), F.count_if(F.col("bucket").isNull()), F.max("rows")
+    count, total, nulls, repeated = totals.agg(
+        F.count("bucket"), F.sum("total"), F.count_if(F.col("bucket").isNull()), F.count_if(F.col("repeated") > 0)
     ).first()
-    if nulls or (most or 0) > 1 << BUCKET_BITS:
+    if nulls or repeated:
         raise ValueError(f"{key} numbers the rows, so it must be neither null nor repeated")
-    totals = totals.drop("rows")
+    totals = totals.drop("repeated")
     few = count <= ONE_STEP
     return Starts(_bucket_starts(totals, () if few else GROUP_BITS), few, total or 0)
 

@@ -22,6 +22,7 @@ from panewise.streaming import panes, runs, sinks
 from panewise.streaming.store import KeyedStore
 
 HOUR = 3600
+WINDOW = "window_start timestamp_ntz, window_end timestamp_ntz"
 REPLAY_BATCHES = 12  # micro-batches of the replayed stream
 READERS = 8  # competing readers: two receivers of four threads
 STREAMS = {
@@ -330,7 +331,7 @@ def poll_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 StreamWriter = Callable[[DataFrame, str, str], DataStreamWriter]
 
 
-def _streamed_topk(spark: SparkSession, sf_dir: str, rank: StreamWriter) -> DataFrame:
+def _streamed_topk(spark: SparkSession, sf_dir: str, rank: StreamWriter, schema: str) -> DataFrame:
     """Feed the sentences in slices, rank every closed window as the stream goes, read what was stored."""
     docs = table(spark, sf_dir, "documents")
     starts = lines.line_starts(docs)
@@ -351,7 +352,7 @@ def _streamed_topk(spark: SparkSession, sf_dir: str, rank: StreamWriter) -> Data
             to_instant(arrival_time(F.lit(end * lines.RATE), lines.RATE)).alias("arrival_ts"),
         )
         runs.stream_slices(iter([closing]), source, writer)
-    return sinks.stored_batches(spark, out)
+    return sinks.stored_batches(spark, out, schema)
 
 
 def sliding_topk_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -360,7 +361,7 @@ def sliding_topk_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         return panes.ring_topk_writer(panes.pane_ring_counts(words, "arrival_ts", "words"), out, checkpoint)
 
     with panes.timer_state(spark):
-        return _streamed_topk(spark, sf_dir, writer)
+        return _streamed_topk(spark, sf_dir, writer, f"{WINDOW}, rank bigint, word string, count bigint")
 
 
 def foreach_batch_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -369,12 +370,12 @@ def foreach_batch_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
         shape = lambda ranked: latest.snapshot_versions(topk.word_count_lists(ranked))
         return runs.topk_writer(counts, out, checkpoint, shape=shape)
 
-    versions = _streamed_topk(spark, sf_dir, writer)
+    versions = _streamed_topk(spark, sf_dir, writer, f"id int, version timestamp_ntz, word_counts {topk.WORD_COUNTS}")
     return versions.select("id", "version", F.to_json("word_counts").alias("json"))
 
 
 def _streamed_events(
-    spark: SparkSession, events: DataFrame, length: int, closing: list[str], rank: StreamWriter
+    spark: SparkSession, events: DataFrame, length: int, closing: list[str], rank: StreamWriter, schema: str
 ) -> DataFrame:
     """Feed events in order of time, in two slices, and a row per type of ``closing`` that closes the last windows."""
     timed = events.where("ts IS NOT NULL").withColumn("ts", to_instant(F.col("ts")))
@@ -392,7 +393,7 @@ def _streamed_events(
         rows = spark.range(1, numPartitions=1).select(*row)
         kinds = F.explode(F.lit(closing).cast("array<string>"))
         runs.stream_slices(iter([rows.withColumn("event_type", kinds)]), source, writer)
-    return sinks.stored_batches(spark, out)
+    return sinks.stored_batches(spark, out, schema)
 
 
 def topk_every_slide_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -405,7 +406,7 @@ def topk_every_slide_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         return panes.every_slide_writer(counts, out, checkpoint, 3, topk.as_json)
 
     with panes.timer_state(spark):
-        return _streamed_events(spark, events, 5 * HOUR, ["closing"], writer)
+        return _streamed_events(spark, events, 5 * HOUR, ["closing"], writer, f"{WINDOW}, json string")
 
 
 def windowed_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -418,7 +419,8 @@ def windowed_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         zoneless = {name: from_instant(F.col(name)) for name in ("window_start", "window_end")}
         return sinks.per_batch(joined.withColumns(zoneless), out, checkpoint, lambda frame: frame)
 
-    return _streamed_events(spark, events, HOUR, ["view", "purchase"], writer)
+    schema = f"{WINDOW}, user_id bigint, views bigint, purchases bigint"
+    return _streamed_events(spark, events, HOUR, ["view", "purchase"], writer, schema)
 
 
 def union_live_query(spark: SparkSession, sf_dir: str) -> DataFrame:

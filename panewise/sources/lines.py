@@ -85,9 +85,10 @@ def document_words(
 def text_file_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, seq, text): the lines of text files, ``seq`` from 0 within each file.
 
-    Files may be cut into splits. A split is read by one task from front to back, so lines
-    are numbered per split (never larger than ``spark.sql.files.maxPartitionBytes``), and
-    the line counts of the splits before it are added.
+    Files may be cut into splits. A split is read by one task from front to back, so a line's number
+    there follows from Spark's running row id and the first one of its split. One row per split is
+    counted and added up; the text stays where it was read unless there are too many splits to send
+    to every task.
     """
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -95,13 +96,7 @@ def text_file_lines(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("id"),
         F.col("value").alias("text"),
     )
-    totals = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("total"))
-    starts = totals.select(
-        "file", "block", sum_before("total", Window.partitionBy("file").orderBy("block")).alias("start")
-    )
-    inside = F.row_number().over(Window.partitionBy("file", "block").orderBy("id")) - 1
-    return (
-        lines.withColumn("inside", inside)
-        .join(starts, ["file", "block"])
-        .select("file", (F.col("start") + F.col("inside")).alias("seq"), "text")
-    )
+    splits = lines.groupBy("file", "block").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("total"))
+    before = sum_before("total", Window.partitionBy("file").orderBy("block"))
+    starts = splits.select("file", "block", (before - F.col("first")).alias("shift"))
+    return lines.join(starts, ["file", "block"]).select("file", (F.col("id") + F.col("shift")).alias("seq"), "text")

@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.readwriter import DataStreamWriter
+from pyspark.sql.types import StructType
+
+from panewise.sources.files import Folder
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -37,7 +40,7 @@ def per_batch(
         rows = result(frame)
         if console:
             rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-            rows.show(max(1, rows.count()), truncate=False)  # every row: a batch may close many windows
+            print_rows(rows)
         rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
         if console:
             rows.unpersist()
@@ -45,6 +48,15 @@ def per_batch(
     return df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
 
 
-def stored_batches(spark: SparkSession, path: str) -> DataFrame:
-    """What ``per_batch`` has written so far."""
+def print_rows(rows: DataFrame) -> None:
+    """Print every row. The driver holds one partition at a time: a batch may close many windows."""
+    print("\t".join(rows.columns))
+    for row in rows.toLocalIterator():
+        print("\t".join("" if value is None else str(value) for value in row))
+
+
+def stored_batches(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+    """What ``per_batch`` has written so far. With a ``schema``, nothing is an empty frame."""
+    if schema is not None and not any(name.startswith("batch=") for name in Folder(spark, path).names()):
+        return spark.createDataFrame([], schema)
     return spark.read.parquet(path).drop("batch")

@@ -60,8 +60,13 @@ def test_rank_when_most_rows_tie(spark):
     assert rows(ranked, "rank", "word", "count") == [(n + 1, w, c) for n, (w, c) in enumerate(expected)]
 
 
-@pytest.mark.parametrize("keys", [[1, 2, None], [7] * 300])
+@pytest.mark.parametrize("keys", [[1, 2, None], [7] * 300, [1, 2, 2], [-1, 5, -1], [1 << 40, 1 << 40]])
 def test_null_and_repeated_keys_raise(spark, keys):
     df = spark.createDataFrame([(k,) for k in keys], "doc_id bigint")
     with pytest.raises(ValueError, match="neither null nor repeated"):
         numbering.with_position(df, "doc_id", "at")
+
+
+def test_all_keys_of_a_bucket_may_be_there(spark):
+    df = spark.range(-256, 512).withColumn("weight", F.lit(1))
+    assert numbering.bucket_starts(df, "id", "weight").total == 768

@@ -116,13 +116,23 @@ def test_instants_keep_the_time(spark):
 def test_polling_waits_for_data_that_comes_later(spark):
     path, out = one_row_per_file(spark, [0]), shared_path(spark, "out")
     stream = stream_source(spark, path, schema(spark), {})
-    looks = []
+    looks, sent = [], []
 
     def stop(query):
         looks.append(query.lastProgress is not None and not query.status["isDataAvailable"])
-        if looks.count(True) == 5:
+        if looks.count(True) == 5 and not sent:
+            sent.append(True)  # further looks may find no more than these five
             sinks.append(spark.createDataFrame([(9, 'late', at(9))], SCHEMA), path)
         return len(looks) > 400 or (looks.count(True) > 5 and spark.read.schema(SCHEMA).parquet(out).count() == 2)
 
     runs.poll_until(sinks.append_stream(stream, out, shared_path(spark, "checkpoint")), stop)
     assert rows(spark.read.schema(SCHEMA).parquet(out), "seq") == [(0,), (9,)]
+
+
+def test_printing_takes_every_row(spark, capsys):
+    sinks.print_rows(spark.range(3).select("id", F.when(F.col("id") == 1, "one").alias("name")))
+    assert capsys.readouterr().out.splitlines() == ["id\tname", "0\t", "1\tone", "2\t"]
+
+
+def test_no_batch_yet_is_an_empty_frame(spark):
+    assert sinks.stored_batches(spark, shared_path(spark, "none"), "a int").columns == ["a"]
