@@ -41,6 +41,7 @@ def live_triggers(spark, sf_dir: str, duration: int, rate: int = 500) -> dict[st
         to_instant(F.col("arrival_ts")).alias("arrival_ts"), words_of_length(F.col("text"), lines.WORD_LENGTH).alias("words")
     )
     path = shared_path(spark, "progress")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")  # a trigger's work is small
     with panes.timer_state(spark), progress.recorded(spark, path) as recorder:
         counts = panes.pane_ring_counts(words, "arrival_ts", "words", shards=8)
         writer = panes.ring_topk_writer(counts, shared_path(spark, "topk"), shared_path(spark, "checkpoint"))

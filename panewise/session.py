@@ -18,6 +18,8 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
         "spark.sql.streaming.stateStore.providerClass": (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
+        # A commit then writes what has changed; whole snapshots follow in the background.
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         **{key.replace("__", "."): value for key, value in conf.items()},
     }
     builder = SparkSession.builder.appName(app_name)

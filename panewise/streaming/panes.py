@@ -19,7 +19,8 @@ from __future__ import annotations
 
 import heapq
 import json
-from collections import Counter
+from bisect import bisect_left
+from collections import Counter, deque
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -35,9 +36,14 @@ from panewise.streaming.sinks import per_batch
 
 SHARDS = 16
 CLOCK = -1
-MARKS = 10_000  # slides that the clock gives out at once
+MARKS = 10_000  # rows that are given out at once
+HELD = 64  # panes whose counts are in memory while rows come in
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# Timers need this store; logging what changed makes small commits cheap.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 OUTPUT = "window_start timestamp, window_end timestamp, word string, count bigint"
 
@@ -45,15 +51,17 @@ OUTPUT = "window_start timestamp, window_end timestamp, word string, count bigin
 @contextmanager
 def timer_state(spark: SparkSession) -> Iterator[None]:
     """Start queries with the state store that keeps timers, and put the setting back."""
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, ROCKSDB)
+    before = {name: spark.conf.get(name, None) for name in STATE}
+    for name, value in STATE.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def _frame(rows: list[tuple[int, str | None, int]], length: int) -> pd.DataFrame:
@@ -90,24 +98,37 @@ class PaneRing(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs()
-        arrived = pd.concat(list(rows))
-        # Panes over which every window has closed are late.
-        arrived = arrived[arrived["pane"] + self.length > passed]
-        if key[0] == CLOCK:
-            if len(arrived) and not self.next.exists():
-                self._wait_for(self._first_end(int(arrived["pane"].min()), passed))
-            return iter(())
-        for pane, words in arrived.groupby("pane")["word"]:
-            held = self.panes.getValue((int(pane),))
-            counts = Counter(json.loads(held[0]) if held else {})
-            counts.update(words.tolist())
-            self.panes.updateValue((int(pane),), (json.dumps(counts),))
-        if len(arrived):
-            end = self._first_end(int(arrived["pane"].min()), passed)
-            if not self.next.exists() or end < self.next.get()[0]:
+        first = None
+        held: dict[int, Counter] = {}  # panes that rows have just come for
+        for part in rows:
+            # Panes over which every window has closed are late.
+            part = part[part["pane"] + self.length > passed]
+            if not len(part):
+                continue
+            least = int(part["pane"].min())
+            first = least if first is None else min(first, least)
+            if key[0] == CLOCK:
+                continue
+            for pane, words in part.groupby("pane")["word"]:
+                if pane not in held:
+                    if len(held) >= HELD:
+                        self._store(held)
+                    known = self.panes.getValue((int(pane),))
+                    held[pane] = Counter(json.loads(known[0]) if known else {})
+                held[pane].update(words.tolist())
+        self._store(held)
+        if first is not None:
+            end = self._first_end(first, passed)
+            # The clock has started once and for all; words may come for an earlier window than awaited.
+            if not self.next.exists() or (key[0] != CLOCK and end < self.next.get()[0]):
                 self._wait_for(end)
         return iter(())
 
+    def _store(self, held: dict[int, Counter]) -> None:
+        for pane, counts in held.items():
+            self.panes.updateValue((int(pane),), (json.dumps(counts),))
+        held.clear()
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         end, passed = expiredTimerInfo.getExpiryTimeInMs() + 1, timerValues.getCurrentWatermarkInMs()
         if not self.next.exists() or end != self.next.get()[0]:
@@ -121,31 +142,36 @@ class PaneRing(StatefulProcessor):
 
     def _close_windows(self, end: int, passed: int) -> Iterator[pd.DataFrame]:
         """All windows that have closed: each takes in one pane and lets go of one."""
-        panes = {pane[0]: json.loads(counts[0]) for pane, counts in self.panes.iterator()}
+        panes = sorted(pane[0] for pane in self.panes.keys())
+        inside: deque[tuple[int, dict[str, int]]] = deque()  # the panes of the window, oldest first
         total: Counter = Counter()
-        for pane in range(end - self.length, end - self.slide, self.slide):
-            total.update(panes.get(pane, {}))
         rows: list[tuple[int, str | None, int]] = []
+        after = bisect_left(panes, end - self.length)
         while end <= passed:
-            total.update(panes.get(end - self.slide, {}))
+            while inside and inside[0][0] < end - self.length:
+                total.subtract(inside.popleft()[1])
+                total = +total  # words that are gone
+            while after < len(panes) and panes[after] < end:
+                inside.append((panes[after], json.loads(self.panes.getValue((panes[after],))[0])))
+                total.update(inside[-1][1])
+                after += 1
+            if not inside:
+                if after == len(panes):
+                    break
+                end = max(end, panes[after] + self.slide)
+                continue
             rows += [(end, word, count) for word, count in heapq.nsmallest(self.k, total.items(), key=_in_order)]
             if len(rows) >= MARKS:
                 yield _frame(rows, self.length)
                 rows = []
-            total.subtract(panes.get(end - self.length, {}))
-            total = +total  # words that are gone
             end += self.slide
-            if not total:
-                later = [pane for pane in panes if pane + self.slide >= end]
-                end = max(end, min(later) + self.slide) if later else passed + 1
         if rows:
             yield _frame(rows, self.length)
-        for pane in panes:
-            if pane + self.length <= passed:
-                self.panes.removeKey((pane,))
-        left = [pane for pane in panes if pane + self.length > passed]
-        if left:
-            self._wait_for(self._first_end(min(left), passed))
+        left = bisect_left(panes, passed - self.length + 1)
+        for pane in panes[:left]:
+            self.panes.removeKey((pane,))
+        if left < len(panes):
+            self._wait_for(self._first_end(panes[left], passed))
         else:
             self.next.clear()
 
