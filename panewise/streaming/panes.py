@@ -45,7 +45,7 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-OUTPUT = "window_start timestamp, window_end timestamp, word string, count bigint"
+OUTPUT = "window_start bigint, window_end bigint, word string, count bigint"  # times in ms, so that no time zone matters
 
 
 @contextmanager
@@ -66,10 +66,10 @@ def timer_state(spark: SparkSession) -> Iterator[None]:
 
 def _frame(rows: list[tuple[int, str | None, int]], length: int) -> pd.DataFrame:
     """Rows (window end in ms, word, count) as a frame of ``OUTPUT``."""
-    ends = pd.to_datetime(pd.Series([end for end, _, _ in rows], dtype="int64"), unit="ms")
+    ends = pd.Series([end for end, _, _ in rows], dtype="int64")
     return pd.DataFrame(
         {
-            "window_start": ends - pd.Timedelta(milliseconds=length),
+            "window_start": ends - length,
             "window_end": ends,
             "word": pd.Series([word for _, word, _ in rows], dtype=object),
             "count": pd.Series([count for _, _, count in rows], dtype="int64"),
@@ -217,11 +217,12 @@ def pane_ring_counts(
     dealt = timed.select(pane, F.explode(told).alias("word"))
     shard = F.when(F.col("word").isNull(), CLOCK).otherwise(F.pmod(F.xxhash64("word"), F.lit(shards))).cast("int")
     ring = PaneRing(1000 * length, 1000 * slide, k)
-    return (
+    found = (
         dealt.withColumn("shard", shard)
         .groupBy("shard")
         .transformWithStateInPandas(ring, OUTPUT, outputMode="append", timeMode="eventTime")
     )
+    return found.withColumns({name: F.timestamp_millis(name) for name in ("window_start", "window_end")})
 
 
 def _closed(frame: DataFrame) -> DataFrame:
