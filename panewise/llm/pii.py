@@ -1,17 +1,20 @@
 """Personal data: base patterns, and spans that a character-level BiLSTM-CRF adds to them.
 
 The patterns find the plain forms of four kinds, exactly as they are defined. The network learns
-from labelled spans: those of the patterns in a bounded sample of documents, in their
-surroundings, as they are and rewritten into forms that the patterns miss (``name at host``, a
-phone number without its country, a card number with dots), and from look-alikes that are none.
-Every character of every text is read, in overlapping windows over the stream of texts. Each
-window is decoded by itself; a span counts where its middle lies in the core of the window,
-and what two windows see of one span is united. Spans never leave their text. An added span is
-dropped when it touches a base span or lacks what its kind must have, such as enough digits.
+from labelled spans in a bounded sample of documents: those of the patterns, as they are and
+rewritten into forms that the patterns miss (``name at host``, a phone number without its
+country, a card number with dots), invented data of these forms put between words of the sampled
+texts, and look-alikes that are none, such as dates and versions.
+Every character of every text is read, in overlapping windows that begin anew in every text, so
+what is found in a text never depends on other texts. Each window is decoded by itself; a span
+counts where its middle lies in the core of the window, and what two windows see of one span is
+united. An added span is fitted to the words it lies in, and dropped when it touches a base span
+or lacks what its kind must have, such as enough digits.
 
 Null texts are empty and have no spans. Rows without a ``doc_id`` are read like others, repeated
-rows each get a row. With no personal data to learn from, the patterns stand alone. An empty
-table gives no rows; further columns are ignored, or passed on by ``redact``.
+rows each get a row. Very long texts cost time in proportion to their length, windows at a time.
+Where no sampled text has a word to put data beside, the patterns stand alone. An empty table gives
+no rows; further columns are ignored, or passed on by ``redact``.
 """
 
 from __future__ import annotations
@@ -34,15 +37,24 @@ Span = tuple[str, int, int]
 MARKED_ROWS = 500
 PLAIN_ROWS = 100
 LEARNED_CHARS = 20_000
-STEPS = 96  # characters of a learning window
-ROUNDS = 20
+STEPS = 64  # characters of a learning window
+FOUND_WINDOWS = 800  # learning windows around what the sample holds
+INVENTED = 1_400  # learning windows around invented data
+LOOKALIKES = 500  # and around invented look-alikes
+BATCH = 128  # learning windows of a step
+BATCHES = 640
 
 WINDOW = 512
 OVERLAP = 64
+WIDTH = 128  # the last window of a text is as wide as the text needs, in steps of this
 STREAM = 1 << 19  # characters that are read at once
 
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# Where a run of possible first characters fails, all later starts in it fail too, so only its
+# beginning is tried. A run that an earlier match cut into is tried from the end of that match.
+_EMAIL_REST = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
+EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])" + _EMAIL_REST)
+EMAIL_HERE = re.compile(_EMAIL_REST)
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
@@ -69,18 +81,26 @@ def _valid(kind: str, text: str) -> bool:
     return kind == "email" or 8 <= len(digits) <= 15
 
 
+def _emails(text: str) -> Iterator[re.Match[str]]:
+    """Leftmost non-overlapping addresses, in time linear in the text."""
+    at = 0
+    while found := EMAIL_HERE.match(text, at) or EMAIL.search(text, at):
+        yield found
+        at = found.end()
+
+
 def base_spans(text: str) -> list[Span]:
     """Spans of the patterns, by kind and start; matches that fail their check are dropped."""
     found = []
     has_digit = DIGIT.search(text) is not None
-    for kind, pattern, possible in (
-        ("email", EMAIL, "@" in text),
-        ("ip", IP, has_digit and "." in text),
-        ("card", CARD, has_digit),
-        ("phone", PHONE, has_digit and "+" in text),
+    for kind, matches, possible in (
+        ("email", _emails, "@" in text),
+        ("ip", IP.finditer, has_digit and "." in text),
+        ("card", CARD.finditer, has_digit),
+        ("phone", PHONE.finditer, has_digit and "+" in text),
     ):
         if possible:
-            found += [(kind, m.start(), m.end()) for m in pattern.finditer(text) if _valid(kind, m[0])]
+            found += [(kind, m.start(), m.end()) for m in matches(text) if _valid(kind, m[0])]
     return found
 
 
@@ -103,24 +123,72 @@ def symbols(text: str) -> np.ndarray:
     return np.where(points < 0x250, _CLASS[np.minimum(points, 0x24F)], 3).astype(np.int8)
 
 
+def _pick(rng: np.random.Generator, *of: str) -> str:
+    return of[int(rng.integers(len(of)))]
+
+
 def _rewritten(kind: str, text: str, rng: np.random.Generator) -> str:
     """Another form of the same datum."""
-    pick = lambda *of: of[int(rng.integers(len(of)))]
     if kind == "email":
-        return text.replace("@", pick("@", " at ", " (at) ", "[at]", " @ ")).replace(".", pick(".", ".", " dot "))
+        text = text.replace("@", _pick(rng, " at ", " (at) ", "[at]", " [at] ", "(at)", " @ "))
+        return text.replace(".", _pick(rng, ".", ".", " dot ", "[.]"))
     digits = _digits(text)
     if kind == "card":
-        return pick(".", "-", " ", "").join(digits[k : k + 4] for k in range(0, len(digits), 4))
-    if kind == "phone":
-        area, head, tail = digits[-10:-7], digits[-7:-4], digits[-4:]
-        return pick(f"({area}) {head}-{tail}", f"{area}-{head}-{tail}", f"{area}.{head}.{tail}", f"00{digits[:-10]} {area} {head} {tail}", text)
-    return text
+        return _pick(rng, ".", "-", " ", "/", "").join(digits[k : k + 4] for k in range(0, len(digits), 4))
+    if kind == "ip":
+        return text.replace(".", _pick(rng, "[.]", "(.)", " . "))
+    area, head, tail = digits[-10:-7], digits[-7:-4], digits[-4:]
+    return _pick(
+        rng,
+        f"({area}) {head}-{tail}",
+        f"{area}-{head}-{tail}",
+        f"{area}.{head}.{tail}",
+        f"{area} {head} {tail}",
+        f"00{digits[:-10] or 1} {area} {head} {tail}",
+    )
+
+
+def invented(kind: str, rng: np.random.Generator) -> str:
+    """A made-up datum in a plain form, which the patterns find."""
+    letters = lambda low, high: "".join(map(chr, rng.integers(97, 123, int(rng.integers(low, high + 1)))))
+    number = lambda count: "".join(map(str, rng.integers(0, 10, count)))
+    if kind == "email":
+        name = letters(3, 8) + _pick(rng, "", "." + letters(3, 8), "_" + letters(2, 6), str(rng.integers(1, 999)))
+        return f"{name}@{letters(3, 9)}{_pick(rng, '', '', '-' + letters(2, 5), '.' + letters(3, 6))}.{_pick(rng, 'com', 'org', 'net', 'de', 'io')}"
+    if kind == "ip":
+        return ".".join(map(str, rng.integers(0, 256, 4)))
+    if kind == "card":
+        head = _pick(rng, "4", "5", "6") + number(14)
+        return next(head + last for last in "0123456789" if luhn(head + last))
+    return f"+{_pick(rng, '1', '44', '49', '33', '34')} {rng.integers(200, 999)} {rng.integers(200, 999)} {number(4)}"
+
+
+def lookalike(rng: np.random.Generator) -> str:
+    """Something with digits or signs that is no personal data."""
+    n = lambda low, high: int(rng.integers(low, high))
+    return _pick(
+        rng,
+        f"{n(1900, 2100)}-{n(1, 13):02}-{n(1, 29):02}",
+        f"{n(1, 29):02}.{n(1, 13):02}.{n(1900, 2100)}",
+        f"{n(1, 13)}/{n(1, 29)}/{n(1900, 2100)}",
+        f"{n(0, 24):02}:{n(0, 60):02}:{n(0, 60):02}",
+        f"{n(1900, 2000)}-{n(2000, 2100)}",
+        f"{n(0, 30)}.{n(0, 20)}.{n(0, 20)}",
+        f"{n(1, 999)},{n(0, 999):03},{n(0, 999):03}",
+        f"{n(1, 999)}.{n(0, 999):03}.{n(0, 999):03}",
+        f"{n(0, 9999)}.{n(0, 99):02}",
+        f"no. {n(10_000, 10**12)}",
+        f"({n(1, 400)})",
+        f"at {n(1, 13)} {_pick(rng, 'am', 'pm')}",
+        f"{n(1, 99)}-{n(100, 999)}",
+    )
 
 
 def learning_windows(texts: list[str], seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """(step, row) of classes and labels: windows around spans, look-alikes and plain text."""
     rng = np.random.default_rng(seed)
     rows: list[tuple[np.ndarray, np.ndarray]] = []
+    gaps: list[tuple[int, int]] = []  # (text, place of a space) far from any span
 
     def window(before: str, middle: str, after: str, label: int) -> None:
         lead = int(rng.integers(0, max(1, STEPS - min(len(middle), STEPS - 1))))
@@ -132,35 +200,49 @@ def learning_windows(texts: list[str], seed: int = 5) -> tuple[np.ndarray, np.nd
         labels[len(before) : min(len(before) + len(middle), STEPS)] = label
         rows.append((classes, labels))
 
-    for text in texts:
+    for number in rng.permutation(len(texts)).tolist():
+        text = texts[number]
         spans = base_spans(text)
         taken = np.zeros(len(text) + 1, dtype=bool)
         for kind, start, end in spans:
             taken[start:end] = True
-        for kind, start, end in spans:
+        for kind, start, end in spans if len(rows) < FOUND_WINDOWS else ():
             near = taken[max(0, start - STEPS) : start].any() or taken[end : end + STEPS].any()
             if not near and end - start < STEPS:
                 for turn in range(4):
                     middle = text[start:end] if turn < 2 else _rewritten(kind, text[start:end], rng)
                     window(text[max(0, start - STEPS) : start], middle, text[end : end + STEPS], 1 + KINDS.index(kind))
-        free = [m.start() for m in re.finditer(r"[0-9]+|@| at ", text) if not taken[max(0, m.start() - STEPS) : m.end() + STEPS].any()]
-        free = free[:: max(1, len(free) // 4)][:4]
-        for at in [*free, *rng.integers(0, max(1, len(text)), 2).tolist()]:
-            if not taken[max(0, at - STEPS) : at + STEPS].any():
+        free = lambda at: not taken[max(0, at - STEPS) : at + STEPS].any()
+        signs = [m.start() for m in re.finditer(r"[0-9]+|@| at ", text) if free(m.start())]
+        signs = signs[:: max(1, len(signs) // 4)][:4]
+        for at in [*signs, *rng.integers(0, max(1, len(text)), 2).tolist()] if len(rows) < FOUND_WINDOWS else ():
+            if free(at):
                 window(text[max(0, at - STEPS) : at], text[at : at + 1], text[at + 1 : at + STEPS], 0)
+        spaces = [m.start() for m in re.finditer(r"(?<=\w) (?=\w)", text)]
+        gaps += [(number, at) for at in spaces[:: max(1, len(spaces) // 20)] if free(at)]
+    for turn in range(INVENTED + LOOKALIKES if gaps else 0):
+        number, at = gaps[int(rng.integers(len(gaps)))]
+        before, after = texts[number][max(0, at - STEPS) : at + 1], texts[number][at : at + STEPS]
+        kind = KINDS[turn % len(KINDS)]
+        datum = invented(kind, rng)
+        if turn >= INVENTED:
+            window(before, lookalike(rng), _pick(rng, "", ",", ".") + after, 0)
+        else:
+            form = datum if turn % 20 < len(KINDS) else _rewritten(kind, datum, rng)
+            window(before, form, _pick(rng, "", "", ",", ".") + after, 1 + KINDS.index(kind))
     if not rows:
         none = np.zeros((STEPS, 0), dtype=np.int64)
         return none, none
     return np.stack([r[0] for r in rows], axis=1).astype(np.int64), np.stack([r[1] for r in rows], axis=1)
 
 
-def learn(texts: list[str], rounds: int = ROUNDS) -> Tagger | None:
-    """A network trained on the labelled spans of some texts; None if they hold no span."""
+def learn(texts: list[str], batches: int = BATCHES) -> Tagger | None:
+    """A network trained on labelled spans in some texts; None if there is no place for any."""
     classes, labels = learning_windows(texts)
     if not labels.any():
         return None
     network = Tagger.new(_CLASSES, 1 + len(KINDS))
-    network.train(classes, labels, rounds)
+    network.train(classes, labels, -(-batches * BATCH // classes.shape[1]), BATCH)
     return network
 
 
@@ -178,18 +260,35 @@ def learning_texts(docs: DataFrame) -> list[str]:
     return texts
 
 
+_SHAPES = {
+    "email": re.compile(
+        r"(?:[A-Za-z0-9._%+-]+ dot )?[A-Za-z0-9._%+-]+ ?(?:@|\(at\)|\[at\]| at ) ?[A-Za-z0-9-]+(?:(?:\.|\[\.\]| dot )[A-Za-z0-9-]+)+", re.IGNORECASE
+    ),
+    "ip": re.compile(r"(?<![0-9])[0-9]{1,3}(?:(?: ?\. ?|\[\.\]|\(\.\))[0-9]{1,3}){3}(?![0-9])"),
+    "card": re.compile(r"(?<![0-9])(?:(?:[0-9]{4}[ ./-]){3}[0-9]{4}|[0-9]{13,19})(?![0-9])"),
+    "phone": re.compile(r"(?:\+|\()?(?<![0-9])[0-9](?:[ ().-]{0,2}[0-9]){6,14}(?![0-9])"),
+}
+
+
 def _plausible(kind: str, text: str) -> bool:
-    digits = len(_digits(text))
-    if kind == "email":
-        return len(text) >= 6 and ("@" in text or " at " in text or "(at)" in text or "[at]" in text)
-    if any(c.isalpha() for c in text) or 2 * digits < len(text):
-        return False
     if kind == "ip":
-        parts = re.findall(r"[0-9]+", text)
-        return len(parts) == 4 and all(_valid("ip", part) for part in parts)
+        return all(int(part) <= 255 for part in re.findall("[0-9]+", text))
     if kind == "card":
-        return 13 <= digits <= 19 and luhn(_digits(text))
-    return 7 <= digits <= 15 and digits < len(text)
+        return luhn(_digits(text))
+    return kind == "email" or len(_digits(text)) < len(text)
+
+
+def fitted(kind: str, text: str, start: int, end: int) -> tuple[int, int] | None:
+    """The form of its kind that a span touches, in the words that it lies in; None if there is none."""
+    low, high = max(0, start - OVERLAP // 2), min(len(text), end + OVERLAP // 2)
+    # Words that reach further than that begin or end where the search does.
+    low += len(text[low:start]) - len(re.search(r"\S*\Z", text[low:start])[0])
+    high = end + len(re.match(r"\S*", text[end:high])[0])
+    while found := _SHAPES[kind].search(text, low, high):
+        if found.start() < end and start < found.end() and _plausible(kind, found[0]):
+            return found.start(), found.end()
+        low = found.start() + 1
+    return None
 
 
 def reconcile(windows: list[tuple[int, int, int, int]], count: int, length: int) -> list[tuple[int, int, int]]:
@@ -214,44 +313,52 @@ def reconcile(windows: list[tuple[int, int, int, int]], count: int, length: int)
     return united
 
 
-def _stream_spans(network: Tagger, stream: np.ndarray) -> list[tuple[int, int, int]]:
-    step = WINDOW - OVERLAP
-    count = max(1, -(-(len(stream) - OVERLAP) // step))
-    padded = np.zeros((count - 1) * step + WINDOW, dtype=np.int8)
-    padded[: len(stream)] = stream
-    rows = np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[::step]
-    best = network.decode(np.ascontiguousarray(rows.T).astype(np.int64))
-    found = []
-    for window in np.flatnonzero(best.any(axis=0)).tolist():
-        line = np.concatenate([[0], best[:, window], [0]])
-        turns = np.flatnonzero(line[1:] != line[:-1])
-        for a, b in zip(turns[:-1].tolist(), turns[1:].tolist(), strict=True):
-            if line[a + 1]:
-                found.append((window, window * step + a, window * step + b, int(line[a + 1])))
-    return reconcile(found, count, len(stream))
+def window_spans(network: Tagger, texts: list[str]) -> list[list[tuple[int, int, int]]]:
+    """Spans (start, end, label) that the network sees, per text, each text in windows of its own."""
+    step, lengths = WINDOW - OVERLAP, np.array([len(text) for text in texts])
+    counts = np.maximum(1, -(-(lengths - OVERLAP) // step))
+    line = np.concatenate([*map(symbols, texts), np.zeros(WINDOW, dtype=np.int8)])
+    owner = np.repeat(np.arange(len(texts)), counts)
+    turn = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+    at, left = (np.cumsum(lengths) - lengths)[owner] + turn * step, lengths[owner] - turn * step
+    widths = np.minimum(WINDOW, -(-left // WIDTH) * WIDTH)
+    found: list[list[tuple[int, int, int, int]]] = [[] for _ in texts]
+    for width in range(WIDTH, WINDOW + 1, WIDTH):
+        every = np.flatnonzero(widths == width)
+        for chosen in np.split(every, range(STREAM // width, len(every), STREAM // width)):
+            if not len(chosen):
+                continue
+            place = np.arange(width)[:, None]
+            classes = np.where(place < left[chosen], line[at[chosen] + place], 0)
+            best = network.decode(classes.astype(np.int64))
+            for column in np.flatnonzero(best.any(axis=0)).tolist():
+                labels = np.concatenate([[0], best[:, column], [0]])
+                turns = np.flatnonzero(labels[1:] != labels[:-1])
+                number = int(turn[chosen[column]])
+                found[owner[chosen[column]]] += [
+                    (number, number * step + a, number * step + b, int(labels[a + 1]))
+                    for a, b in zip(turns[:-1].tolist(), turns[1:].tolist(), strict=True)
+                    if labels[a + 1]
+                ]
+    return [reconcile(f, int(n), int(m)) for f, n, m in zip(found, counts, lengths, strict=True)]
 
 
 def added_spans(network: Tagger, texts: list[str]) -> list[list[Span]]:
-    """Spans that the network finds, per text."""
-    out: list[list[Span]] = [[] for _ in texts]
-    number = 0
-    while number < len(texts):
-        parts, edges = [], [0]
-        first = number
-        while number < len(texts) and (number == first or edges[-1] + len(texts[number]) < STREAM):
-            parts += [symbols(texts[number]), np.zeros(1, dtype=np.int8)]
-            edges.append(edges[-1] + len(texts[number]) + 1)
-            number += 1
-        stream, bounds = np.concatenate(parts), np.array(edges)
-        for start, end, label in _stream_spans(network, stream):
-            which = int(np.searchsorted(bounds, (start + end) // 2, side="right")) - 1
-            text = texts[first + which]
-            start, end = max(start - edges[which], 0), min(end - edges[which], len(text))
-            piece = text[start:end]
-            start += len(piece) - len(piece.lstrip(" \n.,;:"))
-            piece = piece.strip(" \n.,;:")
-            if _plausible(KINDS[label - 1], piece):
-                out[first + which].append((KINDS[label - 1], start, start + len(piece)))
+    """Spans that the network finds, per text, fitted to a form of their kind."""
+    out: list[list[Span]] = []
+    while len(out) < len(texts):
+        first, size = len(out), 0
+        last = first
+        while last < len(texts) and (last == first or size + len(texts[last]) < STREAM):
+            size += len(texts[last])
+            last += 1
+        for text, seen in zip(texts[first:last], window_spans(network, texts[first:last]), strict=True):
+            fits = ((KINDS[label - 1], fitted(KINDS[label - 1], text, start, end)) for start, end, label in seen)
+            kept: list[Span] = []
+            for kind, place in fits:
+                if place and not any(place[0] < e and s < place[1] for _, s, e in kept[-2:]):
+                    kept.append((kind, *place))
+            out.append(kept)
     return out
 
 

@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from panewise.llm import kneser_ney, language, lattice, packing, pii, preferences, rules
 from panewise.llm.tables import drawn, fold
 from panewise.llm.tagger import Tagger
+from panewise.sources.tables import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -189,14 +191,66 @@ def test_detection_keeps_base_spans_and_adds_others(frame, odd):
     assert clean[1] is None and not any(pii.base_spans(t or "") for t in clean.values())
 
 
-def test_windows_agree_with_one_pass_over_the_stream():
+def test_windows_agree_with_one_pass_over_the_text():
     rng = random.Random(4)
-    network = pii.learn([personal(rng, k) for k in range(10, 150)], rounds=12)
+    network = pii.learn([personal(rng, k) for k in range(10, 150)])
     text = " ".join(personal(rng, k) for k in range(10, 40))
     whole = network.decode(pii.symbols(text).astype(np.int64)[:, None])[:, 0]
     runs = [(m.start(), m.end()) for m in re.finditer(r"[^0]+", "".join(map(str, whole.tolist())))]
-    found = {(a, b) for a, b, _ in pii._stream_spans(network, pii.symbols(text))}
+    found = {(a, b) for a, b, _ in pii.window_spans(network, [text])[0]}
     assert len(set(runs) & found) >= 0.9 * len(runs) and len(runs) > 15
+    others = [personal(rng, k) for k in range(150, 170)]
+    assert pii.window_spans(network, [*others, text, "", *others])[20] == pii.window_spans(network, [text])[0]
+    assert pii.window_spans(network, ["", text])[0] == []
+
+
+def test_forms_that_the_patterns_miss_are_found_in_held_out_documents(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents").where("length(text) < 20000")
+    learned, held_out = ([r["text"] for r in docs.where(fold("doc_id", 2) == k).orderBy("doc_id").collect()] for k in (0, 1))
+    network, rng = pii.learn(learned), np.random.default_rng(123)
+    hits, exact, tried, false = 0, 0, 0, 0
+    for text, (base, every) in zip(held_out, pii.spans(held_out, network), strict=True):
+        false += len(every) > len(base)
+        spaces = [m.start() for m in re.finditer(r"(?<=\w) (?=\w)", text)]
+        if not spaces or tried == 300:
+            continue
+        kind, at = pii.KINDS[tried % 4], spaces[int(rng.integers(len(spaces)))] + 1
+        form = pii._rewritten(kind, pii.invented(kind, rng), rng)
+        (_, found), = pii.spans([text[:at] + form + text[at - 1 :]], network)
+        hits += any(k == kind and a < at + len(form) and at < b for k, a, b in found)
+        exact += (kind, at, at + len(form)) in found
+        tried += 1
+    print(f"found {hits}, exactly {exact}, of {tried}; documents with other added spans {false} of {len(held_out)}")
+    assert hits >= 0.9 * tried and exact >= 0.85 * tried and false <= 0.01 * len(held_out)
+
+
+def test_patterns_are_those_stated_and_linear_in_the_text():
+    email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    ip = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    rng = random.Random(1)
+    for _ in range(20_000):
+        text = "".join(rng.choice("a1.@-_ ") for _ in range(rng.randrange(40)))
+        assert [m.span() for m in email.finditer(text)] == [m.span() for m in pii._emails(text)]
+        text = "".join(rng.choice("11.. a") for _ in range(rng.randrange(40)))
+        assert [m.span() for m in ip.finditer(text)] == [m.span() for m in pii.IP.finditer(text)]
+    start = time.process_time()
+    for text in ("a" * 10**6 + "@", "9" * 10**6 + ".", "1." * 10**5, "+1" + " " * 10**6, "a@" * 10**5):
+        pii.base_spans(text)
+    assert time.process_time() - start < 20
+
+
+def test_calibration_equals_trying_every_score():
+    rng = np.random.default_rng(3)
+    for share in (0.0, 0.3, 1.0):
+        for _ in range(30):
+            scores, good = rng.integers(0, 40, 150) / 40, rng.random(150) < share
+            best, gain = 2.0, 0.0
+            for at in np.unique(scores) if good.any() and not good.all() else ():
+                lost = (scores[good] >= at).mean()
+                found = (scores[~good] >= at).mean() - lost
+                if 1 - lost >= 0.9 and found > gain:
+                    best, gain = at, found
+            assert rules.calibrate(scores, good, 0.9) == best
 
 
 # --- language, rules -----------------------------------------------------------------------------------
