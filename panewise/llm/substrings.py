@@ -9,13 +9,17 @@ text cannot go to all tasks. They are kept to what can match, in shards:
    About one word in sixteen begins a region.
 2. Only anchors that occur in two documents or more go on. Equal regions are taken together
    before anything is shuffled by anchor, so copies of a passage cost a row per task.
-3. The different regions of an anchor are its reference shard, or several shards when there
+3. An anchor with more than ``CROWDED`` different regions may be a short notice in front of as many
+   different texts, which share no window. Its regions are cut to the runs of windows whose
+   hash another of them holds too; equal runs are taken together and go on in their place.
+   All other windows of such a region are in no other one.
+4. The different regions of an anchor are its reference shard, or several shards when there
    are many. A suffix automaton is built per shard; each state holds the least ``doc_id`` of
    its strings. All regions of the anchor stream through it for matching statistics: a match
    of ``length`` words ends wherever the state for that length is known, and it belongs to
    an earlier document if the state's ``doc_id`` is smaller. A region that has its anchor to
    itself is its own automaton, and is not sent anywhere.
-4. Matched windows go back to their documents, where their union, the maximal spans, is removed.
+5. Matched windows go back to their documents, where their union, the maximal spans, is removed.
 
 Null and short texts lose nothing. Rows without a ``doc_id`` have no order: they lose nothing and
 are no reference. Rows that share a ``doc_id`` are not smaller than one another; each gets its
@@ -41,6 +45,7 @@ LENGTH = 50
 GRAM = 20
 SHARD_REGIONS = 4096
 BUNDLE_REGIONS = 1024
+CROWDED = 64
 
 _OCCURRENCES = "anchor bigint, region bigint, doc_id bigint, text_hash bigint, first int, windows int"
 _KEY = ["doc_id", "text_hash"]
@@ -183,8 +188,24 @@ class Automaton:
         return found
 
 
+_BODIES = "anchor bigint, region bigint, label bigint, words binary, hashes array<bigint>"
+_BODY_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+_RUNS = "anchor bigint, region bigint, label bigint, words binary, first int, run bigint"
+_RUN_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
+
+
+def _window_hashes(body: bytes, length: int) -> np.ndarray:
+    return mix(chain(cut([body]).hashes(), length)).view(np.int64)
+
+
+def _batch(rows: list[tuple], types: list[pa.DataType], schema: str) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[]] * len(types)
+    names = [c.split()[0] for c in schema.split(", ")]
+    return pa.record_batch([pa.array(c, k) for c, k in zip(columns, types, strict=True)], names=names)
+
+
 def _texts(length: int):
-    """Cut the words of regions out of the documents that stand for them."""
+    """Cut the words of regions out of the documents that stand for them; window hashes at crowded anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,14 +213,29 @@ def _texts(length: int):
             for text, wanted in zip(batch.column("text"), batch.column("wanted"), strict=True):
                 words = encode(text.as_py()).split()
                 for want in wanted.as_py():
-                    body = words[want["first"] : want["first"] + want["windows"] + length - 1]
-                    rows.append((want["anchor"], want["region"], want["label"], want["shards"], b" ".join(body)))
-            columns = list(zip(*rows, strict=True)) or [[]] * 5
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            yield pa.record_batch(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                names=["anchor", "region", "label", "shards", "words"],
-            )
+                    body = b" ".join(words[want["first"] : want["first"] + want["windows"] + length - 1])
+                    hashes = _window_hashes(body, length) if want["crowded"] else None
+                    rows.append((want["anchor"], want["region"], want["label"], body, hashes))
+            yield _batch(rows, _BODY_TYPES, _BODIES)
+
+    return run
+
+
+def _cut_runs(length: int):
+    """Cut regions to their runs of shared windows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                places, words = np.unique(row["places"]), row["words"].split()
+                for part in np.split(places, np.flatnonzero(np.diff(places) > 1) + 1):
+                    first, windows = int(part[0]), len(part)
+                    body = b" ".join(words[first : first + windows + length - 1])
+                    turn = np.arange(windows, dtype=np.uint64)
+                    name = mix(_window_hashes(body, length).view(np.uint64) + turn).sum(dtype=np.uint64).view(np.int64)
+                    rows.append((row["anchor"], row["region"], row["label"], body, first, int(name)))
+            yield _batch(rows, _RUN_TYPES, _RUNS)
 
     return run
 
@@ -229,35 +265,26 @@ def _match(length: int):
     return run
 
 
-def sources(docs: DataFrame, shared: DataFrame, length: int = LENGTH, shard: int = SHARD_REGIONS) -> DataFrame:
-    """(anchor, region, sources): the least ``doc_id`` that holds each window of a region."""
-    place = F.struct(*_KEY, "first", "windows")
-    different = stored(shared.groupBy("anchor", "region").agg(F.min(place).alias("at")), "regions")
-    sizes = different.groupBy("anchor").agg(F.count(F.lit(1)).alias("size"))
-    sized = different.join(sizes, "anchor")
-    alone = sized.where("size = 1").select(
-        "anchor", "region", F.array_repeat(F.col("at.doc_id"), F.col("at.windows")).alias("sources")
-    )
-    want = F.struct(
-        "anchor",
-        "region",
-        F.col("at.doc_id").alias("label"),
-        F.ceil(F.col("size") / shard).cast("bigint").alias("shards"),
-        "at.first",
-        "at.windows",
-    )
-    wanted = (
-        sized.where("size > 1")
-        .groupBy(F.col("at.doc_id").alias("doc_id"), F.col("at.text_hash").alias("text_hash"))
-        .agg(F.collect_list(want).alias("wanted"))
-    )
-    texts = docs.join(wanted, _KEY).select("text", "wanted").mapInArrow(
-        _texts(length), "anchor bigint, region bigint, label bigint, shards bigint, words binary"
+def _shared_runs(bodies: DataFrame, length: int) -> DataFrame:
+    """Runs of windows that two regions of a crowded anchor hold, region by region."""
+    windows = bodies.select("anchor", "region", F.posexplode("hashes").alias("place", "hash"))
+    # A hash that comes twice in one region is kept as well, which only leaves more to the automata.
+    held = windows.groupBy("anchor", "hash").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    shared = stored(held.select("anchor", "hash"), "shared-windows")
+    places = windows.join(shared, ["anchor", "hash"]).groupBy("anchor", "region").agg(F.collect_list("place").alias("places"))
+    return bodies.join(places, ["anchor", "region"]).select("anchor", "region", "label", "words", "places").mapInArrow(
+        _cut_runs(length), _RUNS
     )
+
+
+def _matched(bodies: DataFrame, length: int, shard: int) -> DataFrame:
+    """(anchor, region, sources) of the different regions of each anchor, by the automata of its shards."""
+    sizes = stored(bodies.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / shard).cast("bigint").alias("shards")), "shards")
+    sized = bodies.join(sizes, "anchor")
     own = F.pmod(F.xxhash64("region"), F.col("shards"))
-    sent = texts.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shards") - 1)))
+    sent = sized.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shards") - 1)))
     # Shards are small as a rule; a task's call takes a bundle of them.
-    bundles = max(1, sized.where("size > 1").count() // BUNDLE_REGIONS)
+    bundles = max(1, bodies.count() // BUNDLE_REGIONS)
     bundle = F.pmod(F.xxhash64("anchor", "shard"), F.lit(bundles))
     found = (
         sent.withColumn("reference", F.col("shard") == own)
@@ -269,7 +296,42 @@ def sources(docs: DataFrame, shared: DataFrame, length: int = LENGTH, shard: int
         F.sequence(F.lit(0), F.size(F.col("lists")[0]) - 1),
         lambda k: F.array_min(F.transform("lists", lambda held: F.get(held, k))),
     )
-    return alone.unionByName(least.select("anchor", "region", merged.alias("sources")))
+    return least.select("anchor", "region", merged.alias("sources"))
+
+
+def sources(
+    docs: DataFrame, shared: DataFrame, length: int = LENGTH, shard: int = SHARD_REGIONS, crowded: int = CROWDED
+) -> DataFrame:
+    """(anchor, region, place, sources): the least ``doc_id`` that holds each window of a region from a place on.
+
+    A region may have several rows; a window counts by the least of them.
+    """
+    place = F.struct(*_KEY, "first", "windows")
+    different = stored(shared.groupBy("anchor", "region").agg(F.min(place).alias("at")), "regions")
+    sizes = different.groupBy("anchor").agg(F.count(F.lit(1)).alias("size"))
+    sized = stored(different.join(sizes, "anchor"), "sized-regions")
+    want = F.struct(
+        "anchor", "region", F.col("at.doc_id").alias("label"), (F.col("size") > crowded).alias("crowded"), "at.first", "at.windows"
+    )
+    wanted = (
+        sized.where("size > 1")
+        .groupBy(F.col("at.doc_id").alias("doc_id"), F.col("at.text_hash").alias("text_hash"))
+        .agg(F.collect_list(want).alias("wanted"))
+    )
+    bodies = stored(docs.join(wanted, _KEY).select("text", "wanted").mapInArrow(_texts(length), _BODIES), "region-words")
+    runs = stored(_shared_runs(bodies.where("hashes is not null"), length), "shared-runs")
+    different_runs = runs.groupBy("anchor", "run").agg(F.min("label").alias("label"), F.first("words").alias("words"))
+    few = bodies.where("hashes is null").select("anchor", "region", "label", "words")
+    # Runs and regions never share an anchor: an anchor is crowded or it is not.
+    least = stored(_matched(few.unionByName(different_runs.withColumnRenamed("run", "region")), length, shard), "matched")
+    by_itself = sized.where((F.col("size") == 1) | (F.col("size") > crowded)).select(
+        "anchor", "region", F.lit(0).alias("place"), F.array_repeat(F.col("at.doc_id"), F.col("at.windows")).alias("sources")
+    )
+    of_few = least.join(few.select("anchor", "region"), ["anchor", "region"]).select("anchor", "region", F.lit(0).alias("place"), "sources")
+    of_runs = runs.join(least.withColumnRenamed("region", "run"), ["anchor", "run"]).select(
+        "anchor", "region", F.col("first").alias("place"), "sources"
+    )
+    return by_itself.unionByName(of_few).unionByName(of_runs)
 
 
 def _remove(length: int):
@@ -299,7 +361,9 @@ def _remove(length: int):
     return run
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int = SHARD_REGIONS) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int = SHARD_REGIONS, crowded: int = CROWDED
+) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_text) for every document; kept words are joined by one space."""
     keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     cut_up = keyed.where("doc_id is not null and text is not null").mapInArrow(_regions(length, gram), _OCCURRENCES)
@@ -309,10 +373,10 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, sha
     repeated = stored(ends.where("low < high").select("anchor"), "repeated-anchors")
     shared = stored(occurrences.join(repeated, "anchor"), "shared-regions")
     once = keyed.where("doc_id is not null and text is not null")
-    known = stored(sources(once, shared, length, shard), "sources")
+    known = stored(sources(once, shared, length, shard, crowded), "sources")
     starts = F.transform(
-        F.filter(F.sequence(F.lit(0), F.col("windows") - 1), lambda k: F.get("sources", k) < F.col("doc_id")),
-        lambda k: k + F.col("first"),
+        F.filter(F.sequence(F.lit(0), F.size("sources") - 1), lambda k: F.get("sources", k) < F.col("doc_id")),
+        lambda k: k + F.col("first") + F.col("place"),
     )
     gone = shared.join(known, ["anchor", "region"]).withColumn("starts", starts).where(F.size("starts") > 0)
     gone = gone.groupBy(*_KEY).agg(F.flatten(F.collect_list("starts")).alias("starts"))

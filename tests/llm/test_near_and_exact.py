@@ -117,8 +117,8 @@ def brute_removed(rows, length):
     return out
 
 
-@pytest.mark.parametrize("shard", [2, 4096])
-def test_substrings_equal_brute_force(frame, shard):
+@pytest.mark.parametrize(("shard", "crowded"), [(2, 64), (4096, 64), (4096, 1), (2, 2)])
+def test_substrings_equal_brute_force(frame, shard, crowded):
     rng = random.Random(11)
     passages = [prose(rng, 80) for _ in range(4)] + ["la " * 70]
     rows = []
@@ -131,12 +131,25 @@ def test_substrings_equal_brute_force(frame, shard):
             parts += [" ".join(words), prose(rng, rng.randrange(30))]
         rows.append((k * 7 % 61, " ".join(parts)))
     rows += [(100, rows[0][1]), (101, rows[3][1].replace(" ", "\n", 5)), (102, None), (103, "")]
-    found = substrings.without_repeats(frame(rows), shard=shard).withColumn("sha", F.sha2("kept_text", 256))
+    found = substrings.without_repeats(frame(rows), shard=shard, crowded=crowded).withColumn("sha", F.sha2("kept_text", 256))
     got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["sha"]) for r in found.collect()}
     assert got == brute_removed(rows, 50)
     assert sum(v[1] for v in got.values()) > 1000
 
 
+def test_a_short_notice_in_many_texts_sends_nothing_to_automata(frame, monkeypatch):
+    rng, sent = random.Random(5), []
+    notice, passage = prose(rng, 45), prose(rng, 60)
+    rows = [(k, f"{prose(rng, 60)} {notice} {prose(rng, 60)}") for k in range(400)]
+    rows += [(1000 + k, f"{prose(rng, 20)} {passage} {prose(rng, 20)}") for k in range(200)]
+    matched = substrings._matched
+    monkeypatch.setattr(substrings, "_matched", lambda bodies, *rest: sent.append(bodies.count()) or matched(bodies, *rest))
+    found = {r["doc_id"]: r["n_removed"] for r in substrings.without_repeats(frame(rows)).collect()}
+    assert found == {i: v[1] for i, v in brute_removed(rows, 50).items()}
+    assert all((n >= 60) == (i > 1000) and (n == 0) == (i <= 1000) for i, n in found.items())
+    assert sent[0] < 100
+
+
 def test_substrings_of_odd_rows(odd):
     found = substrings.without_repeats(odd).collect()
     assert sorted((r["doc_id"] or 0, r["n_words"], r["n_removed"]) for r in found) == [
