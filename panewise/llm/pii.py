@@ -5,8 +5,10 @@ from labelled spans in a bounded sample of documents: those of the patterns, as
 rewritten into forms that the patterns miss (``name at host``, a phone number without its
 country, a card number with dots), invented data of these forms put between words of the sampled
 texts, and look-alikes that are none, such as dates and versions.
-Every character of every text is read, in overlapping windows that begin anew in every text, so
-what is found in a text never depends on other texts. Each window is decoded by itself; a span
+Every text is read as a whole, in overlapping windows that begin anew in every text, so what is found
+in a text never depends on other texts. As a span must be of a form of its kind, every text is first
+searched for what all those forms contain, and windows far from any such place, where no span could
+be kept, are not decoded. Each window is decoded by itself; a span
 counts where its middle lies in the core of the window, and what two windows see of one span is
 united. An added span is fitted to the words it lies in, and dropped when it touches a base span
 or lacks what its kind must have, such as enough digits.
@@ -48,6 +50,7 @@ WINDOW = 512
 OVERLAP = 64
 WIDTH = 128  # the last window of a text is as wide as the text needs, in steps of this
 STREAM = 1 << 19  # characters that are read at once
+REACH = 128  # beyond a window: where its spans may be fitted to, and spans that touch them
 
 # Where a run of possible first characters fails, all later starts in it fail too, so only its
 # beginning is tried. A run that an earlier match cut into is tried from the end of that match.
@@ -270,6 +273,21 @@ _SHAPES = {
 }
 
 
+# What every form above contains, in any cut of the text that holds the form.
+_DOT = r"(?: ?\. ?|\[\.\]|\(\.\))"
+_SIGNS_OF_FORMS = (
+    re.compile(r"(?:@|[(\[ ]at[)\] ]) ?[A-Za-z0-9-]++(?:\.|\[\.\]| dot )[A-Za-z0-9-]", re.IGNORECASE),
+    re.compile(
+        rf"[0-9](?:[ ().-]{{0,2}}[0-9]){{6}}|[0-9](?:{_DOT}[0-9]{{1,3}}){{2}}{_DOT}[0-9]|(?:[0-9]{{4}}[ ./-]){{3}}[0-9]{{4}}"
+    ),
+)
+
+
+def signs_of_forms(text: str) -> list[tuple[int, int]]:
+    """Places (start, end) such that whatever fits a form of some kind overlaps one of them."""
+    return [m.span() for sign in _SIGNS_OF_FORMS for m in sign.finditer(text)]
+
+
 def _plausible(kind: str, text: str) -> bool:
     if kind == "ip":
         return all(int(part) <= 255 for part in re.findall("[0-9]+", text))
@@ -313,8 +331,25 @@ def reconcile(windows: list[tuple[int, int, int, int]], count: int, length: int)
     return united
 
 
-def window_spans(network: Tagger, texts: list[str]) -> list[list[tuple[int, int, int]]]:
-    """Spans (start, end, label) that the network sees, per text, each text in windows of its own."""
+def _near(places: list[list[tuple[int, int]]], owner: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """For each window of a text (its ``owner``), whether a place of that text overlaps ``low`` to ``high``."""
+    out = np.zeros(len(owner), dtype=bool)
+    first = np.searchsorted(owner, np.arange(len(places) + 1))
+    for text, held in enumerate(places):
+        if held:
+            own = slice(first[text], first[text + 1])
+            starts, ends = (np.sort(side) for side in np.array(held).T)
+            out[own] = np.searchsorted(starts, high[own]) > np.searchsorted(ends, low[own], side="right")
+    return out
+
+
+def window_spans(
+    network: Tagger, texts: list[str], places: list[list[tuple[int, int]]] | None = None
+) -> list[list[tuple[int, int, int]]]:
+    """Spans (start, end, label) that the network sees, per text, each text in windows of its own.
+
+    With ``places`` per text, only windows that have one within ``REACH`` characters are decoded.
+    """
     step, lengths = WINDOW - OVERLAP, np.array([len(text) for text in texts])
     counts = np.maximum(1, -(-(lengths - OVERLAP) // step))
     line = np.concatenate([*map(symbols, texts), np.zeros(WINDOW, dtype=np.int8)])
@@ -322,6 +357,8 @@ def window_spans(network: Tagger, texts: list[str]) -> list[list[tuple[int, int,
     turn = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
     at, left = (np.cumsum(lengths) - lengths)[owner] + turn * step, lengths[owner] - turn * step
     widths = np.minimum(WINDOW, -(-left // WIDTH) * WIDTH)
+    if places is not None:
+        widths[~_near(places, owner, turn * step - REACH, turn * step + widths + REACH)] = 0
     found: list[list[tuple[int, int, int, int]]] = [[] for _ in texts]
     for width in range(WIDTH, WINDOW + 1, WIDTH):
         every = np.flatnonzero(widths == width)
@@ -345,20 +382,22 @@ def window_spans(network: Tagger, texts: list[str]) -> list[list[tuple[int, int,
 
 def added_spans(network: Tagger, texts: list[str]) -> list[list[Span]]:
     """Spans that the network finds, per text, fitted to a form of their kind."""
-    out: list[list[Span]] = []
-    while len(out) < len(texts):
-        first, size = len(out), 0
-        last = first
-        while last < len(texts) and (last == first or size + len(texts[last]) < STREAM):
-            size += len(texts[last])
+    out: list[list[Span]] = [[] for _ in texts]
+    places = [signs_of_forms(text) for text in texts]
+    chosen = [number for number, held in enumerate(places) if held]
+    last = 0
+    while last < len(chosen):
+        first, size = last, 0
+        while last < len(chosen) and (last == first or size + len(texts[chosen[last]]) < STREAM):
+            size += len(texts[chosen[last]])
             last += 1
-        for text, seen in zip(texts[first:last], window_spans(network, texts[first:last]), strict=True):
+        group = chosen[first:last]
+        for number, seen in zip(group, window_spans(network, [texts[n] for n in group], [places[n] for n in group]), strict=True):
+            text, kept = texts[number], out[number]
             fits = ((KINDS[label - 1], fitted(KINDS[label - 1], text, start, end)) for start, end, label in seen)
-            kept: list[Span] = []
             for kind, place in fits:
                 if place and not any(place[0] < e and s < place[1] for _, s, e in kept[-2:]):
                     kept.append((kind, *place))
-            out.append(kept)
     return out
 
 

@@ -387,3 +387,29 @@ def test_preferences_share_a_prompt(spark):
     assert found[2]["prompt_turns"] == 1 and found[3]["rejected"] == [] and found[3]["rejected_id"] is None
     assert sorted(found) == [0, 1, 2, 3]
     assert preferences.preference_pairs(frame.limit(0), F.shiftright("conv_id", 1), F.col("conv_id") % 2 == 0).count() == 0
+
+
+# --- whole tables, not samples ---------------------------------------------------------------------------
+
+
+def test_windows_without_a_form_add_no_span(monkeypatch):
+    rng = random.Random(8)
+    parts = ["a", " at ", "(at)", "@", ".", " dot ", "[.]", "12", "3456", "7", "-", " ", "(", ")", "/", "K", "b-c", "1.2", "+"]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(2, 40)))
+        signs = pii.signs_of_forms(text)
+        for kind in pii.KINDS:
+            a, b = sorted(rng.randrange(len(text) + 1) for _ in range(2))
+            fit = pii.fitted(kind, text, a, b)
+            assert fit is None or any(fit[0] < end and start < fit[1] for start, end in signs)
+    network = pii.learn([personal(random.Random(11), k) for k in range(10, 60)], batches=60)
+    plain = "words of a text " * 400
+    texts = [plain, plain + "me at home dot org " + plain, "1 " * 2000, "", "call 555 123 4567 " + plain]
+    decoded = []
+    monkeypatch.setattr(Tagger, "decode", lambda self, symbols, decode=Tagger.decode: decoded.append(symbols.size) or decode(self, symbols))
+    found = pii.added_spans(network, texts)
+    assert sum(decoded) < 8000 + 4 * pii.WINDOW  # every text would take 26,000
+    for text, spans in zip(texts, found, strict=True):
+        seen = pii.window_spans(network, [text])[0]
+        fits = [(pii.KINDS[k - 1], *place) for a, b, k in seen if (place := pii.fitted(pii.KINDS[k - 1], text, a, b))]
+        assert set(spans) <= set(fits) and bool(spans) == bool(fits)
