@@ -392,6 +392,20 @@ def test_preferences_share_a_prompt(spark):
 # --- whole tables, not samples ---------------------------------------------------------------------------
 
 
+def test_every_trusted_row_teaches_or_gives_quantiles(spark):
+    good = spark.range(50_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    assert kneser_ney.trusted_rows(good.unionByName(good)).count() == 50_000
+
+
+def test_quantiles_are_exact(spark):
+    rng = np.random.default_rng(4)
+    rows = [("en", float(v)) for v in rng.normal(2, 0.01, 999)] + [("de", 1.5)] * 7 + [("de", 3.0), ("fr", 2.25)]
+    values = spark.createDataFrame([*rows, *((None, v) for _, v in rows)], "lang string, value double")
+    want = values.groupBy("lang").agg(F.count(F.lit(1)), *[F.percentile("value", F.lit(q)) for q in (0.1, 0.99)])
+    found = {r["lang"]: tuple(r)[1:] for r in kneser_ney.quantiles(values, 0.1, 0.99).collect()}
+    assert found == {r["lang"]: tuple(r)[1:] for r in want.collect()}
+
+
 def test_windows_without_a_form_add_no_span(monkeypatch):
     rng = random.Random(8)
     parts = ["a", " at ", "(at)", "@", ".", " dot ", "[.]", "12", "3456", "7", "-", " ", "(", ")", "/", "K", "b-c", "1.2", "+"]
