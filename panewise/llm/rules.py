@@ -1,10 +1,11 @@
 """Quality rules: an isolation forest over rule statistics of whole documents.
 
-Counts per document are exact. Trees are grown on small random samples of the statistics,
-drawn by hash from all documents; a document that random splits set apart after few steps is
-unlike the rest. The score from which a document counts as an outlier is calibrated on
-labelled rows: of all thresholds that keep the stated share of good rows, the one that finds
-the most bad ones for the good ones it loses.
+Counts per document are exact. An isolation forest splits at random: the values that it splits at
+come from small subsamples, which the method is defined by, drawn by hash from all documents. How
+long the paths of a tree are is then learned from all documents, by counting those that end at each
+leaf; a document that the splits set apart after few steps is unlike the rest. The score from which
+a document counts as an outlier is calibrated on all labelled rows: of all thresholds that keep the
+stated share of good rows, the one that finds the most bad ones for the good ones it loses.
 
 Null texts have no words. Documents without words, or that break a base rule, are not kept.
 Rows without a ``doc_id``, repeated rows and further columns change nothing: every row is judged
@@ -15,26 +16,27 @@ gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panewise.llm.tables import drawn, stored
 from panewise.llm.words import Words, chain, cut, groups
+from panewise.operators.numbering import sum_before
 
 LEAST_WORDS = 50
 MOST_REPEATED = 50  # per cent of the words
 SYMBOLS = b"#*$%&|<>"
 
-#: The forest and its calibration: documents drawn for the trees, labelled rows drawn for the threshold.
+#: The forest: documents whose values are split at, in all and by each tree.
 TREES = 100
 TREE_ROWS = 256
 FOREST_ROWS = 20_000
-LABELLED_ROWS = 100_000
 KEPT_GOOD = 0.99
+BINS = 4096  # of scores between 0 and 1, summed up one by one
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 _EXTRA = ["n_upper", "n_marks", "n_lines", "n_distinct", "longest_run"]
@@ -169,17 +171,32 @@ class Forest:
 
     def scores(self, rows: np.ndarray) -> np.ndarray:
         """Anomaly scores between 0 and 1; 0.5 is usual."""
-        depth = int(np.log2(self.feature.shape[1] + 1)) - 1
         total = np.zeros(len(rows))
+        for length, node in zip(self.length, self.leaves(rows), strict=True):
+            total += length[node]
+        return 2.0 ** (-total / len(self.feature) / self.unit)
+
+    def leaves(self, rows: np.ndarray) -> Iterator[np.ndarray]:
+        """For each tree, the nodes at which the rows end."""
+        depth = int(np.log2(self.feature.shape[1] + 1)) - 1
         every = np.arange(len(rows))
-        for feature, split, length in zip(self.feature, self.split, self.length, strict=True):
+        for feature, split in zip(self.feature, self.split, strict=True):
             node = np.zeros(len(rows), dtype=np.int64)
             for _ in range(depth):
                 chosen = feature[node]
                 right = rows[every, np.maximum(chosen, 0)] >= split[node]
                 node = np.where(chosen < 0, node, 2 * node + 1 + right)
-            total += length[node]
-        return 2.0 ** (-total / len(self.feature) / self.unit)
+            yield node
+
+    def weighed(self, ended: np.ndarray) -> Forest:
+        """The same splits, with path lengths by the rows of a whole table that ``ended`` at each (tree, node)."""
+        rows = int(ended[0].sum())
+        size = min(TREE_ROWS, rows)
+        level = np.floor(np.log2(np.arange(self.feature.shape[1]) + 1))
+        whole = np.arange(size + 1)
+        # Of a subsample, a leaf would hold this many rows.
+        share = np.interp(ended * (size / max(rows, 1)), whole, [_expected(int(n)) for n in whole])
+        return replace(self, length=np.where(self.feature < 0, level + share, 0.0), unit=max(_expected(size), 1e-9))
 
 
 def _expected(count: int) -> float:
@@ -237,6 +254,52 @@ def _drawn(df: DataFrame, count: int, most: int, *key: str) -> DataFrame:
     return df.where(drawn(min(1.0, most / max(count, 1)), *key)).limit(2 * most)
 
 
+def _ended(rows: DataFrame, forest: Forest, names: list[str]) -> np.ndarray:
+    """How many of the rows end at each (tree, node)."""
+    trees, nodes = forest.feature.shape
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((trees, nodes), dtype=np.int64)
+        for batch in batches:
+            found = features({n: batch.column(n).to_numpy() for n in names})
+            for tree, ends in enumerate(forest.leaves(found)):
+                total[tree] += np.bincount(ends, minlength=nodes)
+        place = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(place), pa.array(total.ravel()[place])], names=["place", "rows"])
+
+    counted = rows.select(names).mapInArrow(count, "place bigint, rows bigint").groupBy("place").agg(F.sum("rows").alias("rows"))
+    ended = np.zeros(trees * nodes, dtype=np.int64)
+    for row in counted.collect():  # bounded by the nodes of the forest
+        ended[row["place"]] = row["rows"]
+    return ended.reshape(trees, nodes)
+
+
+def threshold(scored: DataFrame, kept_good: float = KEPT_GOOD) -> float:
+    """``calibrate`` over a table (anomaly, good, bad) of any size: the rows of each kind by score.
+
+    Scores are summed up from the highest down, inside bins and over the bins before.
+    """
+    bins = F.least(F.floor(F.col("anomaly") * BINS), F.lit(BINS - 1)).alias("bin")
+    by_score = scored.groupBy(bins, "anomaly").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    by_score = stored(by_score, "scores")
+    per_bin = by_score.groupBy("bin").agg(F.sum("good").alias("all_good"), F.sum("bad").alias("all_bad"))
+    every, down = Window.partitionBy(F.lit(0)), Window.partitionBy(F.lit(0)).orderBy(F.desc("bin"))
+    starts = per_bin.select(
+        "bin",
+        *[sum_before(f"all_{kind}", down).alias(f"{kind}_before") for kind in ("good", "bad")],
+        *[F.sum(f"all_{kind}").over(every).alias(f"{kind}_rows") for kind in ("good", "bad")],
+    )
+    so_far = Window.partitionBy("bin").orderBy(F.desc("anomaly")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lost, found = [
+        (F.col(f"{kind}_before") + F.sum(kind).over(so_far)) / F.greatest(f"{kind}_rows", F.lit(1)) for kind in ("good", "bad")
+    ]
+    gains = by_score.join(F.broadcast(starts), "bin").select("anomaly", "good_rows", lost.alias("lost"), found.alias("found"))
+    gains = gains.where((F.col("good_rows") > 0) & (1 - F.col("lost") >= kept_good) & (F.col("found") > F.col("lost")))
+    # Of equal gains the least score, as it rejects most.
+    best = gains.agg(F.max(F.struct((F.col("found") - F.col("lost")).alias("gain"), (-F.col("anomaly")).alias("less")))).first()[0]
+    return 2.0 if best is None else -best["less"]
+
+
 def isolation_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rule statistics, ``base_failed``, ``anomaly`` (the forest's score) and ``kept`` for every document.
 
@@ -246,23 +309,20 @@ def isolation_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     names = [*COUNTS, *_EXTRA]
     passing = counted.where(~F.col("base_failed"))
     sample = _drawn(passing, passing.count(), FOREST_ROWS, "doc_id", *names).select(names).toPandas()
-    label = labels.select(F.col("doc_id").cast("bigint"), F.col("quality").alias("_quality")).where("_quality is not null")
-    marked = _drawn(label, label.count(), LABELLED_ROWS, "doc_id")
-    known = passing.join(marked, "doc_id").select(*names, "_quality").limit(2 * LABELLED_ROWS).toPandas()
     if not len(sample):
         return counted.withColumns({"anomaly": F.lit(None).cast("double"), "kept": ~F.col("base_failed")})
-    forest = grow(features({n: sample[n].to_numpy() for n in names}))
-    threshold = calibrate(
-        forest.scores(features({n: known[n].to_numpy() for n in names})), known["_quality"].to_numpy() == 1
-    )
+    split = grow(features({n: sample[n].to_numpy() for n in names}))
+    forest = split.weighed(_ended(passing, split, names))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = {n: batch.column(n).to_numpy() for n in names}
-            score = forest.scores(features(found))
-            kept = ~batch.column("base_failed").to_numpy(zero_copy_only=False) & (score < threshold)
-            yield pa.record_batch(
-                [*batch.columns, pa.array(score), pa.array(kept)], names=[*batch.schema.names, "anomaly", "kept"]
-            )
-
-    return counted.mapInArrow(judge, f"{_STATISTICS}, base_failed boolean, anomaly double, kept boolean")
+            score = forest.scores(features({n: batch.column(n).to_numpy() for n in names}))
+            yield pa.record_batch([*batch.columns, pa.array(score)], names=[*batch.schema.names, "anomaly"])
+
+    judged = stored(counted.mapInArrow(judge, f"{_STATISTICS}, base_failed boolean, anomaly double"), "anomaly")
+    # Repeated labels are added up first, so that no number has many rows on both sides.
+    marked = labels.where("quality is not null").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(
+        F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") != 1).alias("bad")
+    )
+    known = judged.where(~F.col("base_failed")).select("doc_id", "anomaly").join(marked, "doc_id")
+    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") < threshold(known)))

@@ -406,6 +406,28 @@ def test_quantiles_are_exact(spark):
     assert found == {r["lang"]: tuple(r)[1:] for r in want.collect()}
 
 
+def test_the_threshold_comes_from_all_labelled_rows(spark):
+    rng = np.random.default_rng(5)
+    for share in (0.0, 0.5, 1.0):
+        scores, good = rng.integers(0, 5000, 400) / 5000, rng.random(400) < share
+        scored = spark.createDataFrame([(float(s), int(g), int(not g)) for s, g in zip(scores, good, strict=True)], "anomaly double, good bigint, bad bigint")
+        assert rules.threshold(scored, 0.9) == rules.calibrate(scores, good, 0.9)
+
+
+def test_leaves_are_weighed_by_all_rows(spark):
+    rng = np.random.default_rng(6)
+    names = [*rules.COUNTS, *rules._EXTRA]
+    counts = rng.integers(60, 400, (3000, len(names)))
+    rows = rules.features(dict(zip(names, counts.T, strict=True)))
+    forest = rules.grow(rows[:300])
+    table = spark.createDataFrame(counts.tolist(), ", ".join(f"{n} bigint" for n in names)).repartition(5)
+    ended = rules._ended(table, forest, names)
+    assert (ended.sum(axis=1) == 3000).all()
+    assert (ended == [np.bincount(ends, minlength=ended.shape[1]) for ends in forest.leaves(rows)]).all()
+    whole = forest.weighed(ended)
+    assert (whole.length[0][ended[0] > 100] > np.log2(np.flatnonzero(ended[0] > 100) + 1).astype(int)).all()
+
+
 def test_windows_without_a_form_add_no_span(monkeypatch):
     rng = random.Random(8)
     parts = ["a", " at ", "(at)", "@", ".", " dot ", "[.]", "12", "3456", "7", "-", " ", "(", ")", "/", "K", "b-c", "1.2", "+"]
