@@ -19,6 +19,9 @@ from panewise.functions.clock import pane_start, plus_seconds, slide_number, sli
 CHUNK_BITS = 6
 # Blocks of panes whose running results are made together: 2^3, so that one in eight is sent twice.
 BLOCK_BITS = 3
+# Tasks that the keys of a chunk are dealt to where the number of tasks is set: enough for a large
+# vocabulary, and few enough that the first words of a window's share are far fewer than its words.
+SHARES = 8
 
 
 def _check(length: int, slide: int) -> None:
@@ -30,21 +33,34 @@ def _window_columns(window: Column) -> list[Column]:
     return [window.start.alias("window_start"), window.end.alias("window_end")]
 
 
-def pane_counts(df: DataFrame, ts: str, keys: list[str], slide: int = 1) -> DataFrame:
-    """(ts, *keys, count): rows per key in each slide. Partial counts are made before the shuffle."""
+def pane_counts(
+    df: DataFrame, ts: str, keys: list[str], slide: int = 1, partitions: int | None = None
+) -> DataFrame:
+    """(ts, *keys, count): rows per key in each slide. Partial counts are made before the shuffle.
+
+    With ``partitions``, for many rows that seldom repeat a key in a slide, the rows themselves are
+    shuffled, to that many tasks, so that none holds counts beyond its share.
+    """
     pane = pane_start(F.col(ts), slide)
+    if partitions:
+        df = df.select(pane.alias(ts), *keys).repartition(partitions, ts, *keys)
+        return df.groupBy(ts, *keys).agg(F.count(F.lit(1)).alias("count"))
     return df.groupBy(pane.alias(ts), *keys).agg(F.count(F.lit(1)).alias("count"))
 
 
 def sliding_counts(
-    df: DataFrame, ts: str, keys: list[str], length: int = 5, slide: int = 1
+    df: DataFrame, ts: str, keys: list[str], length: int = 5, slide: int = 1, partitions: int | None = None
 ) -> DataFrame:
     """(window_start, window_end, *keys, count), counted in one step.
 
     Each row is expanded to all its windows before the partial count. This is the form for
     rows that seldom repeat a key within a slide, and for streams, where the window is the state.
+    With ``partitions``, each row is a pane of its own, expanded after the shuffle to that many tasks.
     """
     _check(length, slide)
+    if partitions:
+        panes = df.select(pane_start(F.col(ts), slide).alias(ts), *keys, F.lit(1).cast("bigint").alias("count"))
+        return sliding_counts_from_panes(panes, ts, keys, length, slide, partitions)
     window = F.window(ts, f"{length} seconds", f"{slide} seconds")
     return (
         df.groupBy(window.alias("window"), *keys)
@@ -54,7 +70,7 @@ def sliding_counts(
 
 
 def sliding_counts_from_panes(
-    panes: DataFrame, ts: str, keys: list[str], length: int = 5, slide: int = 1
+    panes: DataFrame, ts: str, keys: list[str], length: int = 5, slide: int = 1, partitions: int | None = None
 ) -> DataFrame:
     """(window_start, window_end, *keys, count), combined from ``pane_counts``.
 
@@ -62,11 +78,15 @@ def sliding_counts_from_panes(
     keys), with the panes that windows of the chunk before reach into repeated there,
     and expanded to windows after the shuffle. The sum then needs no shuffle of its own.
     This is the form for many rows per key and slide: only panes are expanded, not rows.
+    With ``partitions`` there are that many tasks, so that the counts that one holds are bounded,
+    and a chunk's keys are dealt to ``SHARES`` of them.
     """
     _check(length, slide)
     reach = length // slide - 1
     bits = max(CHUNK_BITS, reach.bit_length())
     pane = F.col("_pane")
+    share = F.pmod(F.xxhash64(*keys), F.lit(SHARES)) if partitions and keys else F.lit(0).cast("bigint")
+    dealt = (partitions, "_chunk", "_share") if partitions else ("_chunk", *keys)
     gathered = (
         panes.withColumn("_pane", slide_number(panes, ts, slide))
         .withColumn(
@@ -74,7 +94,8 @@ def sliding_counts_from_panes(
             F.explode(F.array_distinct(F.array(F.shiftright(pane - reach, bits), F.shiftright(pane, bits)))),
         )
         .select("_chunk", "_pane", *keys, "count")
-        .repartition("_chunk", *keys)
+        .withColumn("_share", share)
+        .repartition(*dealt)
     )
     first_of_chunk = F.shiftleft("_chunk", bits)
     starts = F.sequence(
@@ -84,7 +105,7 @@ def sliding_counts_from_panes(
     start = slide_time(panes, ts, F.col("_start"), slide)
     return (
         gathered.withColumn("_start", F.explode(starts))
-        .groupBy("_chunk", "_start", *keys)
+        .groupBy("_chunk", *(["_share"] if partitions else []), "_start", *keys)
         .agg(F.sum("count").alias("count"))
         .select(start.alias("window_start"), *keys, "count")
         .select("window_start", plus_seconds(F.col("window_start"), length).alias("window_end"), *keys, "count")

@@ -59,16 +59,27 @@ def five_char_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sliding windows over words -------------------------------------------------------------
 
 
+def _words(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int | None]:
+    """The words, and the number of tasks that so many lines need."""
+    docs = table(spark, sf_dir, "documents")
+    starts = lines.line_starts(docs)
+    return lines.document_words(docs, starts=starts), starts.partitions
+
+
 def pane_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return windows.pane_counts(five_char_words(spark, sf_dir), "arrival_ts", ["word"])
+    words, tasks = _words(spark, sf_dir)
+    return windows.pane_counts(words, "arrival_ts", ["word"], partitions=tasks)
 
 
 def sliding_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return windows.sliding_counts(five_char_words(spark, sf_dir), "arrival_ts", ["word"])
+    words, tasks = _words(spark, sf_dir)
+    return windows.sliding_counts(words, "arrival_ts", ["word"], partitions=tasks)
 
 
 def sliding_word_counts_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return windows.sliding_counts_from_panes(pane_counts(spark, sf_dir), "arrival_ts", ["word"])
+    words, tasks = _words(spark, sf_dir)
+    panes_of_words = windows.pane_counts(words, "arrival_ts", ["word"], partitions=tasks)
+    return windows.sliding_counts_from_panes(panes_of_words, "arrival_ts", ["word"], partitions=tasks)
 
 
 def windowed_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +118,8 @@ def _snapshot_store(spark: SparkSession, sf_dir: str) -> KeyedStore:
     """A store that has taken in the lists of all windows, in two batches."""
     docs = table(spark, sf_dir, "documents")
     starts = lines.line_starts(docs)
-    counts = windows.sliding_counts(lines.document_words(docs, starts=starts), "arrival_ts", ["word"])
+    words = lines.document_words(docs, starts=starts)
+    counts = windows.sliding_counts(words, "arrival_ts", ["word"], partitions=starts.partitions)
     path = shared_path(spark, "versions")
     sinks.append(latest.snapshot_versions(topk.word_count_lists(topk.top_k_per_window(counts))), path)
     versions = spark.read.parquet(path)

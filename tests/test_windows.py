@@ -116,3 +116,20 @@ def test_session_zone_does_not_matter(spark, zone):
         assert rows(one) == rows(two)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_tasks_are_as_many_as_the_rows_ask_for(spark, monkeypatch):
+    from panewise.operators import numbering
+    from panewise.sources import lines
+
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("seven words\nabcde fghij abcde\n").alias("text"))
+    one = windows.sliding_counts(lines.document_words(docs), "arrival_ts", ["word"])
+    monkeypatch.setattr(numbering, "TASK_WEIGHT", 300)
+    starts = lines.line_starts(docs)
+    assert starts.partitions == 20
+    words = lines.document_words(docs, starts=starts)
+    many = windows.sliding_counts(words, "arrival_ts", ["word"], partitions=20)
+    panes = windows.pane_counts(words, "arrival_ts", ["word"], partitions=20)
+    assert [df.rdd.getNumPartitions() for df in (words, panes, many)] == [20, 20, 20]
+    from_panes = windows.sliding_counts_from_panes(panes, "arrival_ts", ["word"], partitions=20)
+    assert rows(one) == rows(many) == rows(from_panes) and one.dtypes == many.dtypes == from_panes.dtypes
