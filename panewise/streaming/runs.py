@@ -41,6 +41,8 @@ def in_slices(df: DataFrame, position: str, total: int, least_slices: int = 2) -
     (
         df.withColumn("slice", whole_div(F.col(position), rows))
         .repartition(whole_div(F.col(position), block))
+        # In order, so that state is asked for one neighbourhood after the other.
+        .sortWithinPartitions("slice", position)
         .write.partitionBy("slice")
         .parquet(stage)
     )

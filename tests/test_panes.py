@@ -180,3 +180,30 @@ def test_united_streams_hold_the_rows_of_all(spark):
     assert sorted(str(r["text"]) for r in spark.read.parquet(out).collect()) == ["None", "a", "a", "b"]
     with pytest.raises(ValueError):
         union_live("arrival_ts")
+
+
+def test_neighbouring_panes_share_a_row_of_state():
+    import pandas as pd
+
+    calls, kept, timers = [], {}, []
+
+    class Map:
+        getValue = staticmethod(lambda key: calls.append("get") or kept.get(key))
+        updateValue = staticmethod(lambda key, value: calls.append("put") or kept.update({key: value}))
+        removeKey = staticmethod(kept.pop)
+        keys = staticmethod(lambda: iter(list(kept)))
+
+    class Value(list):
+        exists, get, update, clear = list.__len__, lambda self: self[0], lambda self, v: self.__setitem__(slice(None), [v]), list.clear
+
+    class At:
+        getCurrentWatermarkInMs = staticmethod(lambda: 0)
+
+    class Handle:
+        getMapState, getValueState, registerTimer = (lambda *_: Map), (lambda *_: Value()), (lambda _, at: timers.append(at))
+
+    ring = panes.PaneRing(5000, 1000, 10)
+    ring.init(Handle())
+    rows = pd.DataFrame({"pane": [1000 * k for k in range(640)] * 2, "word": ["abcde", "fghij"] * 640})
+    list(ring.handleInputRows((1,), iter([rows]), At))
+    assert len(kept) == 10 and calls.count("get") == calls.count("put") == 10 and timers == [999]
