@@ -397,6 +397,21 @@ def test_every_trusted_row_teaches_or_gives_quantiles(spark):
     assert kneser_ney.trusted_rows(good.unionByName(good)).count() == 50_000
 
 
+def test_texts_that_are_not_trusted_stay_where_they_are(spark, monkeypatch):
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.concat(F.lit("t"), "id").alias("text"))
+    docs = docs.unionByName(docs.where("doc_id < 50")).unionByName(docs.limit(1).withColumn("doc_id", F.lit(None).cast("bigint")))
+    labels = spark.range(0, 20_000, 5).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    trusted = kneser_ney.trusted_rows(labels)
+    expected = sorted(docs.join(trusted, "doc_id").select("lang", "text", "half").collect())
+    assert kneser_ney.likely_trusted(docs, trusted).count() < 4_010 + 20_000 * 2 / kneser_ney.BITS_EACH
+    for most in (kneser_ney.MOST_WORDS, 1):  # with one word, all others come through
+        monkeypatch.setattr(kneser_ney, "MOST_WORDS", most)
+        for known in (docs, docs.withColumn("doc_id", F.col("doc_id").cast("int"))):
+            assert sorted(kneser_ney.trusted_texts(known, trusted).collect()) == expected
+    none = trusted.limit(0)
+    assert kneser_ney.trusted_texts(docs, none).count() == 0
+
+
 def test_quantiles_are_exact(spark):
     rng = np.random.default_rng(4)
     rows = [("en", float(v)) for v in rng.normal(2, 0.01, 999)] + [("de", 1.5)] * 7 + [("de", 3.0), ("fr", 2.25)]
