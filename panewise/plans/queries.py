@@ -13,6 +13,7 @@ from panewise.functions.ids import content_id
 from panewise.functions.templates import demux, select_matching
 from panewise.functions.text import tokens, unfold, words_of_length
 from panewise.operators import latest, numbering, rates, topk, windows
+from panewise.operators.numbering import Starts
 from panewise.operators.template_index import match_templates
 from panewise.session import shared_path
 from panewise.sources import fifo, lines, positioned, replay
@@ -59,26 +60,27 @@ def five_char_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sliding windows over words -------------------------------------------------------------
 
 
-def _words(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int | None]:
-    """The words, and the number of tasks that so many lines need."""
+def _words(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Starts]:
+    """The words, and where the lines that have them begin, which tells how many tasks they need."""
     docs = table(spark, sf_dir, "documents")
     starts = lines.line_starts(docs)
-    return lines.document_words(docs, starts=starts), starts.partitions
+    return lines.document_words(docs, starts=starts), starts
 
 
 def pane_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words, tasks = _words(spark, sf_dir)
-    return windows.pane_counts(words, "arrival_ts", ["word"], partitions=tasks)
+    words, starts = _words(spark, sf_dir)
+    return windows.pane_counts(words, "arrival_ts", ["word"], partitions=starts.partitions)
 
 
 def sliding_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words, tasks = _words(spark, sf_dir)
-    return windows.sliding_counts(words, "arrival_ts", ["word"], partitions=tasks)
+    words, starts = _words(spark, sf_dir)
+    return windows.sliding_counts(words, "arrival_ts", ["word"], partitions=lines.window_tasks(starts))
 
 
 def sliding_word_counts_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words, tasks = _words(spark, sf_dir)
-    panes_of_words = windows.pane_counts(words, "arrival_ts", ["word"], partitions=tasks)
+    words, starts = _words(spark, sf_dir)
+    panes_of_words = windows.pane_counts(words, "arrival_ts", ["word"], partitions=starts.partitions)
+    tasks = lines.window_tasks(starts)
     return windows.sliding_counts_from_panes(panes_of_words, "arrival_ts", ["word"], partitions=tasks)
 
 
@@ -119,7 +121,7 @@ def _snapshot_store(spark: SparkSession, sf_dir: str) -> KeyedStore:
     docs = table(spark, sf_dir, "documents")
     starts = lines.line_starts(docs)
     words = lines.document_words(docs, starts=starts)
-    counts = windows.sliding_counts(words, "arrival_ts", ["word"], partitions=starts.partitions)
+    counts = windows.sliding_counts(words, "arrival_ts", ["word"], partitions=lines.window_tasks(starts))
     path = shared_path(spark, "versions")
     sinks.append(latest.snapshot_versions(topk.word_count_lists(topk.top_k_per_window(counts))), path)
     versions = spark.read.parquet(path)

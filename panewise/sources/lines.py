@@ -14,6 +14,10 @@ from panewise.operators.numbering import Starts, bucket_starts, sum_before, with
 
 RATE = 100  # sentences per second
 WORD_LENGTH = 5
+# Lines, and bytes of text, whose words one task counts by window, where there are many: a few hundred
+# thousand words in the windows of each, whatever the table.
+WINDOW_LINES = 1 << 15
+WINDOW_BYTES = 1 << 24
 
 
 def _line_arrays(docs: DataFrame) -> DataFrame:
@@ -28,9 +32,16 @@ def text_lines(docs: DataFrame) -> DataFrame:
 
 
 def line_starts(docs: DataFrame) -> Starts:
-    """How many lines come before each bucket of documents, and how many there are in all."""
-    counts = docs.where("text IS NOT NULL").select("doc_id", line_count(F.col("text")).alias("n_lines"))
-    return bucket_starts(counts, "doc_id", "n_lines")
+    """How many lines come before each bucket of documents, how many there are in all, and how many bytes."""
+    counts = docs.where("text IS NOT NULL").select(
+        "doc_id", line_count(F.col("text")).alias("n_lines"), F.octet_length("text").alias("n_bytes")
+    )
+    return bucket_starts(counts, "doc_id", "n_lines", "n_bytes")
+
+
+def window_tasks(starts: Starts) -> int | None:
+    """Tasks that the words of so many lines are counted by window in; None if Spark may choose."""
+    return starts.tasks(WINDOW_LINES, WINDOW_BYTES)
 
 
 def _per_line(

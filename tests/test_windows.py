@@ -133,3 +133,25 @@ def test_tasks_are_as_many_as_the_rows_ask_for(spark, monkeypatch):
     assert [df.rdd.getNumPartitions() for df in (words, panes, many)] == [20, 20, 20]
     from_panes = windows.sliding_counts_from_panes(panes, "arrival_ts", ["word"], partitions=20)
     assert rows(one) == rows(many) == rows(from_panes) and one.dtypes == many.dtypes == from_panes.dtypes
+
+
+@pytest.mark.parametrize("limit", ["WINDOW_LINES", "WINDOW_BYTES"])
+def test_tasks_of_word_windows_follow_lines_and_bytes(spark, monkeypatch, tmp_path, limit):
+    from panewise.plans import queries
+    from panewise.sources import lines
+
+    text = "abcde fghij abcde\nklmno\n" if limit == "WINDOW_LINES" else "abcde fghij abcde klmno "  # 24 bytes
+    docs = spark.range(500).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
+    docs.unionByName(docs.limit(1).select(F.lit(500).cast("bigint").alias("doc_id"), F.lit(None).cast("string").alias("text"))).write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    wanted = rows(queries.sliding_word_counts(spark, str(tmp_path)))
+    top = rows(queries.windowed_topk(spark, str(tmp_path)))
+    monkeypatch.setattr(lines, limit, 100 if limit == "WINDOW_LINES" else 1_000)
+    starts = lines.line_starts(docs)
+    tasks = 10 if limit == "WINDOW_LINES" else 12
+    assert starts.partitions is None and lines.window_tasks(starts) == tasks
+    for query in (queries.sliding_word_counts, queries.sliding_word_counts_panes):
+        found = query(spark, str(tmp_path))
+        assert found.rdd.getNumPartitions() == tasks and rows(found) == wanted
+    assert rows(queries.windowed_topk(spark, str(tmp_path))) == top
